@@ -1,0 +1,146 @@
+"""The queries over the given tables, by name.
+
+Two telemetry sources are derived from the tables: the ``supplier`` fleet, where every supplier is a
+cell running all protocols, and ``events``, where every user is a cell and every event a sample.
+Doubles are rounded for comparison here, and only here.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from cellspark.operators import cycles, segment
+from cellspark.operators.dcir import extract_dcir_anchors
+from cellspark.operators.gitt import extract_gitt_pulses
+from cellspark.operators.hppc import detect_hppc_pulses
+from cellspark.operators.ocv import extract_ocv_curves
+from cellspark.operators.power import extract_constant_power, extract_peak_power
+from cellspark.operators.rate import extract_rate_capability
+from cellspark.operators.self_discharge import extract_self_discharge
+from cellspark.operators.soc import soc_at_step_start
+from cellspark.protocols import run_fleet
+from cellspark.schemas import CELL_KEYS
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+
+# Event types read as step names.
+EVENT_STEPS = {"click": "CC_Chg", "view": "CC_DChg", "purchase": "Rest", "signup": "CP_DChg", "error": "CCCV_Chg"}
+
+
+def query(fn):
+    QUERIES[fn.__name__] = fn
+    return fn
+
+
+def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
+    return df.select(
+        *[
+            F.round(name, digits).alias(name) if dtype == "double" and name != "max_cap" else F.col(name)
+            for name, dtype in df.dtypes
+        ]
+    )
+
+
+def fleet(spark: SparkSession, sf_dir: str, *tests: str) -> DataFrame:
+    cells = spark.read.parquet(f"{sf_dir}/supplier.parquet")
+    return run_fleet(cells, "s_suppkey", "s_nationkey", "s_acctbal", list(tests) or None)
+
+
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind, user, value = F.col("event_type"), F.col("user_id"), F.col("value")
+    step = F.coalesce(*[F.when(kind == k, v) for k, v in EVENT_STEPS.items()])
+    sign = F.when(kind == "purchase", 0.0).when(kind.isin("view", "signup"), -1.0).otherwise(1.0)
+    none = F.lit(None).cast("string")
+    return spark.read.parquet(f"{sf_dir}/events.parquet").select(
+        F.lpad(user.cast("string"), 8, "0").alias("cell_no"),
+        F.dayofmonth("ts").alias("cycle_no"),
+        F.lit(None).cast("int").alias("cycler_step_no"),
+        step.alias("step_name"),
+        F.col("ts").cast("timestamp").alias("absolute_time"),
+        (F.lit(3.2) + value / 1000).alias("volt_v"),
+        (sign * value / 10).alias("current_a"),
+        (sign * value / 100).alias("capacity_ah"),
+        none.alias("crate"),
+        none.alias("drate"),
+        none.alias("dod"),
+        F.lit(5.0).alias("max_cap"),
+        F.when(user % 3 == 0, "RPT").otherwise("Longterm").alias("test"),
+        F.concat(F.lit("MAKE"), (user % 4).cast("string")).alias("make"),
+        (user % 2).cast("string").alias("batch"),
+    )
+
+
+@query
+def cycle_agg(spark, sf_dir):
+    return rounded(cycles.aggregate_per_cycle(fleet(spark, sf_dir, "RPT", "Longterm")), 9)
+
+
+@query
+def cycle_agg_events(spark, sf_dir):
+    return rounded(cycles.aggregate_per_cycle(events(spark, sf_dir)), 9)
+
+
+@query
+def state_of_health(spark, sf_dir):
+    return rounded(cycles.state_of_health(cycles.rpt_capacity(fleet(spark, sf_dir, "RPT"))))
+
+
+@query
+def rpt_c_rate(spark, sf_dir):
+    return rounded(cycles.rpt_c_rate(fleet(spark, sf_dir, "RPT")))
+
+
+@query
+def rate_capability(spark, sf_dir):
+    return rounded(extract_rate_capability(fleet(spark, sf_dir, "RateCapability")))
+
+
+@query
+def rate_capability_strict(spark, sf_dir):
+    return rounded(extract_rate_capability(fleet(spark, sf_dir, "RateCapability"), strict_direction=True))
+
+
+@query
+def self_discharge(spark, sf_dir):
+    return rounded(extract_self_discharge(fleet(spark, sf_dir, "SelfDischarge")))
+
+
+@query
+def constant_power(spark, sf_dir):
+    return rounded(extract_constant_power(fleet(spark, sf_dir, "ConstantPower")))
+
+
+@query
+def ocv_curves(spark, sf_dir):
+    return rounded(extract_ocv_curves(fleet(spark, sf_dir, "OCVSOC")))
+
+
+@query
+def peak_power(spark, sf_dir):
+    return rounded(extract_peak_power(fleet(spark, sf_dir, "PeakPower")))
+
+
+@query
+def hppc_pulses(spark, sf_dir):
+    return rounded(detect_hppc_pulses(fleet(spark, sf_dir, "HPPC")))
+
+
+@query
+def dcir_anchors(spark, sf_dir):
+    return rounded(extract_dcir_anchors(fleet(spark, sf_dir, "DCIR")))
+
+
+@query
+def gitt_pulses(spark, sf_dir):
+    return rounded(extract_gitt_pulses(fleet(spark, sf_dir, "GITT"), fit=False))
+
+
+@query
+def gitt_relaxation(spark, sf_dir):
+    fitted = extract_gitt_pulses(fleet(spark, sf_dir, "GITT"))
+    return fitted.select(
+        *CELL_KEYS, "pulse_idx", F.round("tau_diff_s", 2).alias("tau_diff_s"), F.round("v_inf_v", 6).alias("v_inf_v")
+    )
