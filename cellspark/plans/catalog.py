@@ -125,7 +125,8 @@ def peak_power(spark, sf_dir):
 
 @query
 def hppc_pulses(spark, sf_dir):
-    return rounded(detect_hppc_pulses(fleet(spark, sf_dir, "HPPC")))
+    pulses = rounded(detect_hppc_pulses(fleet(spark, sf_dir, "HPPC")))
+    return pulses.withColumns({c: F.round(c, 2) for c in ("C1_F", "C2_F")})
 
 
 @query

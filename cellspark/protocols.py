@@ -204,7 +204,7 @@ def run_fleet(cells: DataFrame, id_col: str, group_col: str, figure_col: str, te
     volt = (
         F.col("s.v0")
         + F.col("s.a") * (F.lit(1.0) - F.exp(-t / F.col("s.tau")))
-        + figure * F.lit(1e-6)
+        + figure * F.lit(1.2345678e-6)
         + F.col("s.noise") * F.sin(F.col("k") * F.lit(1.7) + cell)
     )
     cap = F.lit(100.0) + cell % 5

@@ -20,7 +20,7 @@ raw as (
     case when s_suppkey % 4 <> 0 then cast(step_no as integer) end as cycler_step_no, step_name,
     make_timestamp((start_ms + k * dt_ms + s_suppkey * 10) * 1000) as absolute_time,
     case when k <> null_at then round(v0 + a * (1.0 - exp(-(k * dt_ms / cast(1000.0 as double)) / tau))
-      + s_acctbal * cast(1e-6 as double)
+      + s_acctbal * cast(1.2345678e-6 as double)
       + noise * sin(k * cast(1.7 as double) + s_suppkey), 6) end as volt_v,
     i_c * (cast(100.0 as double) + s_suppkey % 5) * (1.0 + s_nationkey * cast(0.001 as double)) as current_a,
     (cast(100.0 as double) + s_suppkey % 5) * (c0 + i_c * (k * dt_ms / cast(1000.0 as double)) / cast(3600.0 as double))
