@@ -12,6 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cellspark.functions.chunked import exact_median, neighbours
+from cellspark.functions.lineage import cut
 from cellspark.operators import cycles, segment
 from cellspark.operators.dcir import extract_dcir_anchors
 from cellspark.operators.gitt import extract_gitt_pulses
@@ -21,8 +23,10 @@ from cellspark.operators.power import extract_constant_power, extract_peak_power
 from cellspark.operators.rate import extract_rate_capability
 from cellspark.operators.self_discharge import extract_self_discharge
 from cellspark.operators.soc import soc_at_step_start
+from cellspark.plans import select, upsert, wide
 from cellspark.protocols import run_fleet
 from cellspark.schemas import CELL_KEYS
+from cellspark.sources import ingest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -145,3 +149,160 @@ def gitt_relaxation(spark, sf_dir):
     return fitted.select(
         *CELL_KEYS, "pulse_idx", F.round("tau_diff_s", 2).alias("tau_diff_s"), F.round("v_inf_v", 6).alias("v_inf_v")
     )
+
+
+def naive(df: DataFrame) -> DataFrame:
+    """Timestamps without a zone, as the comparison engine has them."""
+    return df.select(
+        *[F.col(n).cast("timestamp_ntz").alias(n) if t == "timestamp" else F.col(n) for n, t in df.dtypes]
+    )
+
+
+@query
+def conform_raw(spark, sf_dir):
+    """Lake-style names, untrimmed text and unreadable numbers in, RAW out."""
+    untidy = spark.read.parquet(f"{sf_dir}/events.parquet").select(
+        F.col("user_id").alias("Cell"),
+        F.lower(F.concat(F.lit("make"), (F.col("user_id") % 4).cast("string"))).alias("Make"),
+        (F.col("user_id") % 2).alias("Batch"),
+        F.when(F.col("event_type") != "error", F.concat(F.lit("  "), "event_type", F.lit(" "))).alias("Step name"),
+        F.dayofmonth("ts").cast("string").alias("Cycle No"),
+        F.when(F.col("value") < 300, F.col("event_id").cast("string")).otherwise("n/a").alias("Sequence number of step"),
+        F.col("ts").alias("Absolute time"),
+        F.when(F.col("value") < 200, F.col("value")).otherwise(float("nan")).alias("volt(V)"),
+        F.when(F.col("value") < 100, F.col("value").cast("string")).otherwise("").alias("Current(A)"),
+        F.lit("RPT").alias("Test"),
+    )
+    return rounded(naive(ingest.conform(untidy)))
+
+
+@query
+def islands_events(spark, sf_dir):
+    rows = segment.label_islands(events(spark, sf_dir))
+    return naive(rows.select(*CELL_KEYS, "absolute_time", "step_name", F.col("_idx").alias("idx"), F.col("_block").alias("block")))
+
+
+@query
+def steps_events(spark, sf_dir):
+    steps = segment.island_steps(segment.label_islands(events(spark, sf_dir)))
+    return naive(rounded(steps.withColumnRenamed("_block", "block"), 9))
+
+
+@query
+def step_neighbours_events(spark, sf_dir):
+    steps = segment.island_steps(segment.label_islands(events(spark, sf_dir)))
+    near = neighbours(steps, CELL_KEYS, "_block", ["step_name", "duration_s"], before="p", after="n")
+    return rounded(
+        near.select(
+            *CELL_KEYS,
+            F.col("_block").alias("block"),
+            F.col("p.step_name").alias("prev_step"),
+            F.col("p.duration_s").alias("prev_s"),
+            F.col("n.step_name").alias("next_step"),
+            F.col("n.duration_s").alias("next_s"),
+        )
+    )
+
+
+@query
+def steps_by_number(spark, sf_dir):
+    steps = segment.numbered_steps(segment.number_rows(segment.select_test(fleet(spark, sf_dir, "HPPC"), "HPPC")))
+    return naive(rounded(segment.restore_keys(steps).withColumnRenamed("_step_no", "step_no")))
+
+
+@query
+def soc_at_step_start_events(spark, sf_dir):
+    steps = segment.island_steps(segment.label_islands(events(spark, sf_dir)))
+    return rounded(soc_at_step_start(cut(steps)).withColumnRenamed("_block", "block"))
+
+
+@query
+def rate_medians_events(spark, sf_dir):
+    """Median capacity per cell and step kind, over all events."""
+    rows = events(spark, sf_dir)
+    return rounded(exact_median(rows, [*CELL_KEYS, "step_name"], "volt_v", "median_v"), 9)
+
+
+def event_files(spark, sf_dir) -> DataFrame:
+    """One lake path per (test, cell, day) that has events."""
+    user, ts = F.col("user_id"), F.col("ts")
+    test = F.when(user % 3 == 0, "SelfDischarge").when(user % 3 == 1, "GITT").otherwise("Longterm")
+    both = F.when(
+        F.col("event_type") == "click", F.array(test, F.lit("OCVSOC"))
+    ).otherwise(F.array(test))
+    return (
+        spark.read.parquet(f"{sf_dir}/events.parquet")
+        .select(F.explode(both).alias("test"), user, ts)
+        .select(
+            F.format_string(
+                "lake/Test=%s/Make=M%s/Batch=%s/Cell=%s/YYYY=%s/MM=%s/DD=%s/part-0.parquet",
+                "test", user % 4, user % 2, user, F.year(ts), F.month(ts), F.dayofmonth(ts),
+            ).alias("path")
+        )
+        .distinct()
+    )
+
+
+@query
+def file_inventory(spark, sf_dir):
+    return ingest.inventory_of(event_files(spark, sf_dir))
+
+
+@query
+def changed_group_selection(spark, sf_dir):
+    return select.changed_groups(ingest.inventory_of(event_files(spark, sf_dir)), "2024-01-28")
+
+
+@query
+def changed_with_dependencies(spark, sf_dir):
+    files = ingest.inventory_of(event_files(spark, sf_dir))
+    return select.with_dependencies(select.changed_groups(files, "2024-01-29", ["M0", "M1"]), files, ["M0", "M1"])
+
+
+@query
+def null_safe_upsert(spark, sf_dir):
+    """Early and late state of every user: blanks of the late one must not erase the early one."""
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
+    early, late = F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz"), F.col("value") > 20
+
+    def state(rows, prefix):
+        return rows.groupBy("user_id").agg(
+            F.max(F.when(F.col("event_type") == "click", F.col("value"))).alias("best"),
+            F.when(F.max("value") > 150, float("nan")).otherwise(F.max("value")).alias("top"),
+            F.when(F.max("value") > 120, F.lit("  ")).otherwise(F.concat(F.lit(prefix), F.min("event_type"))).alias("tag"),
+            F.min("ts").alias("first_seen"),
+            F.sort_array(F.collect_list(F.when(F.col("event_type") == "error", F.col("value")))).alias("errors"),
+        )
+
+    types = {"best": "double", "top": "double", "tag": "string", "first_seen": "timestamp_ntz", "errors": "array<double>"}
+    merged = upsert.merge_rows(
+        state(ev.where(~early & late), "new-"), state(ev.where(early), "old-"), ["user_id"], types,
+        earliest=("first_seen",),
+    )
+    return merged.withColumn("errors", text_of("errors"))
+
+
+def text_of(array: str):
+    """An array of doubles as text that any engine can reproduce: millionths, comma separated, null as n."""
+    return F.array_join(
+        F.transform(array, lambda v: F.coalesce(F.round(v * 1e6).cast("bigint").cast("string"), F.lit("n"))), ","
+    )
+
+
+@query
+def wide_cells(spark, sf_dir):
+    """The wide row of every cell, without the fitted relaxation arrays (see ``gitt_relaxation``)."""
+    raw = fleet(spark, sf_dir)
+    full = wide.with_dsoc_per_day(wide.build_wide(ingest.only_tests(raw)))
+    full = full.drop("tau_diff_curve", "v_inf_curve")
+    return naive(rounded(full.withColumns({n: text_of(n) for n, t in full.dtypes if t.startswith("array")})))
+
+
+@query
+def dsoc_per_day(spark, sf_dir):
+    raw = fleet(spark, sf_dir, "OCVSOC", "SelfDischarge")
+    row = wide.assemble(
+        wide.sessions(raw),
+        [wide.ocv_arrays(extract_ocv_curves(raw)), wide.self_discharge_columns(extract_self_discharge(raw))],
+    )
+    return rounded(wide.with_dsoc_per_day(row).select(*CELL_KEYS, "self_disch_dsoc_per_day"))

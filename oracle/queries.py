@@ -347,3 +347,79 @@ gitt_fit as (
 )"""
 ORACLES["gitt_relaxation"] = with_(fleet("GITT"), ISLANDS, SOC, GITT, FIT, recursive=True) + f"""
 select {K}, pulse_idx, round(tau, 2) as tau_diff_s, round(v_inf, 6) as v_inf_v from gitt_fit"""
+
+ORACLES["conform_raw"] = """
+select case when length(c) < 4 then lpad(c, 4, '0') else c end as cell_no, cast(day(ts) as integer) as cycle_no,
+  case when value < 300 then cast(event_id as integer) end as cycler_step_no, event_type as step_name,
+  ts as absolute_time, case when value < 200 then round(value, 6) end as volt_v,
+  case when value < 100 then round(value, 6) end as current_a, cast(null as double) as capacity_ah,
+  cast(null as varchar) as crate, cast(null as varchar) as drate, cast(null as varchar) as dod,
+  cast(null as double) as max_cap, 'RPT' as test, 'MAKE' || cast(user_id % 4 as varchar) as make,
+  cast(user_id % 2 as varchar) as batch
+from (select *, cast(user_id as varchar) as c from events) where event_type <> 'error'"""
+
+ORACLES["islands_events"] = with_(EVENTS, ISLANDS) + f"""
+select {K}, absolute_time, step_name, idx, block from labelled"""
+
+ORACLES["steps_events"] = with_(EVENTS, ISLANDS) + f"""
+select {K}, block, cycle_no, step_name, n_rows, start_time, end_time,
+  {rounded(['start_volt_v', 'end_volt_v', 'current_mean_a', 'duration_s', 'step_capacity_ah'], 9)} from steps"""
+
+ORACLES["step_neighbours_events"] = with_(EVENTS, ISLANDS) + f"""
+select {K}, block, lag(step_name) over w as prev_step, round(lag(duration_s) over w, 6) as prev_s,
+  lead(step_name) over w as next_step, round(lead(duration_s) over w, 6) as next_s
+from steps window w as (partition by {K} order by block)"""
+
+ORACLES["steps_by_number"] = with_(fleet("HPPC"), NUMBERED) + f"""
+select {K}, step_no, step_name, cycle_no, n_samples, t_start, t_end,
+  {rounded(['v_first', 'v_last', 'i_abs_mean', 'i_mean', 'q_max', 'duration_s'])} from steps"""
+
+ORACLES["soc_at_step_start_events"] = with_(EVENTS, ISLANDS, SOC, recursive=True) + f"""
+select {K}, block, round(soc, 6) as soc from fold"""
+
+ORACLES["rate_medians_events"] = with_(EVENTS) + f"""
+select {K}, step_name, round(median(volt_v), 9) as median_v from raw group by {K}, step_name"""
+
+_FILES = """
+files as (
+  select distinct 'lake/Test=' || test || '/Make=M' || user_id % 4 || '/Batch=' || user_id % 2 || '/Cell=' || user_id
+      || '/YYYY=' || year(ts) || '/MM=' || month(ts) || '/DD=' || day(ts) || '/part-0.parquet' as path,
+    test as "Test", 'M' || user_id % 4 as "Make", cast(user_id % 2 as varchar) as "Batch",
+    cast(user_id as varchar) as "Cell", strftime(ts, '%Y-%m-%d') as date
+  from (select *, unnest(case when event_type = 'click' then [t, 'OCVSOC'] else [t] end) as test from (
+    select *, case user_id % 3 when 0 then 'SelfDischarge' when 1 then 'GITT' else 'Longterm' end as t from events))
+  where test <> 'Longterm'
+)"""
+_G = '"Test", "Make", "Batch", "Cell"'
+ORACLES["file_inventory"] = with_(_FILES) + f"select path, {_G}, date from files"
+ORACLES["changed_group_selection"] = with_(_FILES) + f"""
+select {_G}, max(date) as last_date from files group by {_G} having max(date) > '2024-01-28'"""
+ORACLES["changed_with_dependencies"] = with_(
+    _FILES,
+    f"""changed as (
+  select {_G} from files where "Make" in ('M0', 'M1') group by {_G} having max(date) > '2024-01-29')""",
+) + f"""
+select {_G} from changed union
+select f."Test", f."Make", f."Batch", f."Cell" from files f join changed c on f."Make" = c."Make"
+  and f."Batch" = c."Batch" and f."Cell" = c."Cell"
+where (f."Test", c."Test") in (('SelfDischarge', 'OCVSOC'), ('OCVSOC', 'SelfDischarge'))"""
+
+
+def _user_state(name: str, prefix: str, where: str) -> str:
+    return f"""
+{name} as (
+  select user_id, max(value) filter (event_type = 'click') as best,
+    case when max(value) <= 150 then max(value) end as top,
+    case when max(value) <= 120 then '{prefix}' || min(event_type) end as tag, min(ts) as first_seen,
+    nullif(string_agg(cast(cast(round(value * 1e6) as bigint) as varchar), ',' order by value)
+      filter (event_type = 'error'), '') as errors
+  from events where {where} group by user_id
+)"""
+
+
+ORACLES["null_safe_upsert"] = with_(
+    _user_state("fresh", "new-", "ts >= '2024-01-16' and value > 20"), _user_state("known", "old-", "ts < '2024-01-16'")
+) + """
+select f.user_id, coalesce(f.best, k.best) as best, coalesce(f.top, k.top) as top, coalesce(f.tag, k.tag) as tag,
+  least(f.first_seen, k.first_seen) as first_seen, coalesce(f.errors, k.errors) as errors
+from fresh f left join known k on f.user_id = k.user_id"""
