@@ -282,20 +282,26 @@ def null_safe_upsert(spark, sf_dir):
     return merged.withColumn("errors", text_of("errors"))
 
 
-def text_of(array: str):
-    """An array of doubles as text that any engine can reproduce: millionths, comma separated, null as n."""
+def text_of(array: str, scale: float = 1e6):
+    """An array of doubles as text that any engine can reproduce: scaled integers, comma separated, null as n."""
     return F.array_join(
-        F.transform(array, lambda v: F.coalesce(F.round(v * 1e6).cast("bigint").cast("string"), F.lit("n"))), ","
+        F.transform(array, lambda v: F.coalesce(F.round(v * scale).cast("bigint").cast("string"), F.lit("n"))), ","
     )
 
 
+# Arrays of large values, compared to fewer digits.
+COARSE_ARRAYS = ("c1_dchg_curve", "c2_dchg_curve", "tau_diff_curve")
+
+
 @query
 def wide_cells(spark, sf_dir):
-    """The wide row of every cell, without the fitted relaxation arrays (see ``gitt_relaxation``)."""
+    """The wide row of every cell, with its cross-test columns."""
     raw = fleet(spark, sf_dir)
     full = wide.with_dsoc_per_day(wide.build_wide(ingest.only_tests(raw)))
-    full = full.drop("tau_diff_curve", "v_inf_curve")
-    return naive(rounded(full.withColumns({n: text_of(n) for n, t in full.dtypes if t.startswith("array")})))
+    texts = {
+        n: text_of(n, 1e1 if n in COARSE_ARRAYS else 1e6) for n, t in full.dtypes if t.startswith("array")
+    }
+    return naive(rounded(full.withColumns(texts)))
 
 
 @query

@@ -423,3 +423,173 @@ ORACLES["null_safe_upsert"] = with_(
 select f.user_id, coalesce(f.best, k.best) as best, coalesce(f.top, k.top) as top, coalesce(f.tag, k.tag) as tag,
   least(f.first_seen, k.first_seen) as first_seen, coalesce(f.errors, k.errors) as errors
 from fresh f left join known k on f.user_id = k.user_id"""
+
+
+def _list(value: str, order: str, only: str = "true", scale: str = "1e6") -> str:
+    """Values in order as comma separated millionths, null as n; null where there are none."""
+    text = f"coalesce(cast(cast(round(({value}) * {scale}) as bigint) as varchar), 'n')"
+    return f"string_agg({text}, ',' order by {order}) filter ({only})"
+
+
+def _part(name: str, body: str, *ctes: str, recursive: bool = False) -> str:
+    return f"{name} as ({with_(*ctes, recursive=recursive)} {body})"
+
+
+def _per_cell(source: str, **cols: str) -> str:
+    return f"select {K}, " + ", ".join(f"{sql} as {name}" for name, sql in cols.items()) + f" from {source} group by {K}"
+
+
+_D, _C = "direction = 'dchg'", "direction = 'chg'"
+_RATE_ROWS = f"""
+rates as (
+  select {K}, direction, c_rate, median(step_capacity_ah) as q_ah from (
+    select *, {half_even('abs(current_mean_a) / max_cap', 2)} as c_rate, unnest(case
+        when lower(step_name) like '%dchg%' then ['dchg', 'chg'] when lower(step_name) like '%chg%' then ['chg'] end)
+        as direction
+    from usable where lower(step_name) not like '%cp%' and step_capacity_ah >= 0.5 * max_cap)
+  group by {K}, direction, c_rate
+)"""
+
+OCV_PART = _part(
+    "w_ocv",
+    _per_cell(
+        "ocv",
+        ocv_soc_grid=_list("soc", "soc, v_oc", _D),
+        v_oc_curve=_list("v_oc", "soc, v_oc", _D),
+        ocv_soc_grid_chg=_list("soc", "soc, v_oc", _C),
+        v_oc_chg_curve=_list("v_oc", "soc, v_oc", _C),
+        pts=f"list(struct_pack(v := v_oc, s := soc) order by v_oc, soc) filter ({_D})",
+    ),
+    fleet("OCVSOC"), NUMBERED, OCV,
+)
+SD_PART = _part(
+    "w_sd",
+    f"""select {K}, duration_s / 3600.0 as self_disch_rest_duration_h, v_first as self_disch_v_start_v,
+    v_last as self_disch_v_end_v, cast(25.0 as double) as self_disch_ambient_c from rest""",
+    fleet("SelfDischarge"), NUMBERED, _SD,
+)
+
+
+def _look_up(v: str) -> str:
+    """Charge at voltage ``v`` on the sorted points ``pts``, ends held."""
+    low, high = f"[p for p in pts if p.v <= {v}][-1]", f"[p for p in pts if p.v > {v}][1]"
+    return f"""case when {low} is null then {high}.s when {high} is null or {low}.v = {v} then {low}.s
+      else ({high}.s - {low}.s) / ({high}.v - {low}.v) * ({v} - {low}.v) + {low}.s end"""
+
+
+_DSOC = f"""case when self_disch_rest_duration_h > 0 then case when len(pts) > 1
+    then (({_look_up('self_disch_v_start_v')}) - ({_look_up('self_disch_v_end_v')})) / (self_disch_rest_duration_h / 24.0)
+    else -(self_disch_v_end_v - self_disch_v_start_v) / 0.05 / (self_disch_rest_duration_h / 24.0) end end"""
+
+ORACLES["dsoc_per_day"] = with_(
+    f"cells as (with {fleet('OCVSOC', 'SelfDischarge')} select distinct {K} from raw)", OCV_PART, SD_PART
+) + f"""
+select {K}, round({_DSOC}, 6) as self_disch_dsoc_per_day
+from cells left join w_ocv using ({K}) left join w_sd using ({K})"""
+
+_WIDE_PARTS = [
+    f"""cells as (with {fleet()} select {K}, min(absolute_time) as test_session_start,
+      max(absolute_time) as test_session_end from raw where test <> 'Longterm' group by {K})""",
+    _part(
+        "w_hppc",
+        _per_cell(
+            "hppc",
+            hppc_n_pulses_dchg="cast(count(*) as double)",
+            hppc_soc_at_pulse_dchg=_list("pulse_idx * cast(0.1 as double)", "pulse_idx"),
+            hppc_i_at_pulse_dchg=_list("i_mean", "pulse_idx"),
+            r0_dchg_curve=_list("r0", "pulse_idx"),
+            r1_dchg_curve=_list("r1", "pulse_idx"),
+            c1_dchg_curve=_list("tau1 / nullif(r1 * 1e-3, 0)", "pulse_idx", scale="1e1"),
+            r2_dchg_curve=_list("r2", "pulse_idx"),
+            c2_dchg_curve=_list("tau2 / nullif(r2 * 1e-3, 0)", "pulse_idx", scale="1e1"),
+        ),
+        fleet("HPPC"), NUMBERED, HPPC,
+    ),
+    OCV_PART,
+    _part(
+        "w_dcir",
+        _per_cell(
+            "dcir",
+            dcir_n_pulses="cast(count(*) as double)",
+            dcir_soc_at_pulse=_list("soc", "pulse_idx"),
+            dcir_soc_nominal="case count(*) when 1 then '900000' when 2 then '900000,200000' "
+            f"when 3 then '900000,500000,200000' else {_list('soc', 'pulse_idx')} end",
+            dcir_i_at_pulse=_list("i_at_pulse", "pulse_idx"),
+            r_dc_curve=_list("r0_mohm", "pulse_idx"),
+        ),
+        fleet("DCIR"), ISLANDS, SOC, DCIR, recursive=True,
+    ),
+    _part(
+        "w_gitt",
+        _per_cell(
+            "gitt join gitt_fit using (make, batch, cell_no, max_cap, pulse_idx)",
+            gitt_soc_grid=_list(half_even("soc0", 3), "pulse_idx"),
+            r_pulse_curve=_list("abs(end_volt_v - start_volt_v) / abs(current_mean_a) * 1000", "pulse_idx"),
+            tau_diff_curve=_list("tau", "pulse_idx", scale="1e1"),
+            v_inf_curve=_list("v_inf", "pulse_idx"),
+        ),
+        fleet("GITT"), ISLANDS, SOC, GITT, FIT, recursive=True,
+    ),
+    _part(
+        "w_rate",
+        _per_cell(
+            "rates",
+            rate_cap_c_rates=_list("c_rate", "c_rate", _D),
+            rate_cap_q_curve=_list("q_ah", "c_rate", _D),
+            rate_cap_c_rates_chg=_list("c_rate", "c_rate", _C),
+            rate_cap_q_chg_curve=_list("q_ah", "c_rate", _C),
+        ),
+        fleet("RateCapability"), ISLANDS, _USABLE, _RATE_ROWS,
+    ),
+    _part(
+        "w_cp",
+        _per_cell(
+            "steps where lower(step_name) like '%cp%' and lower(step_name) like '%dchg%'",
+            const_power_levels_w=_list("power_w", "power_w, duration_s"),
+            const_power_t_dis_curve=_list("duration_s", "power_w, duration_s"),
+            const_power_energy_curve=_list("power_w * duration_s / 3600.0", "power_w, duration_s"),
+        ),
+        fleet("ConstantPower"), ISLANDS,
+    ),
+    _part(
+        "w_peak",
+        _per_cell(
+            "latest",
+            peak_power_soc_grid=_list("soc", "soc", _D),
+            p_peak_10s_dchg_curve=_list("abs(v_at_peak * i_at_peak)", "soc", _D),
+            p_peak_10s_chg_curve=_list("abs(v_at_peak * i_at_peak)", "soc", _C),
+        ),
+        fleet("PeakPower"), ISLANDS, SOC, PEAK, recursive=True,
+    ),
+    SD_PART,
+    _part(
+        "w_rpt",
+        _per_cell("cycles", q_rpt_ah="max(dchg_cap_ah)", q_rpt_chg_ah="max(chg_cap_ah)"),
+        fleet("RPT"), CYCLES,
+    ),
+    _part(
+        "w_crate",
+        f"""select {K}, arg_min(rate, absolute_time) as rpt_protocol_c_rate from (select *, try_cast(
+          regexp_extract(coalesce(crate, drate), '([0-9]*\\.?[0-9]+)', 1) as double) as rate from raw)
+        where rate is not null group by {K}""",
+        fleet("RPT"),
+    ),
+]
+_WIDE_NAMES = ["w_hppc", "w_ocv", "w_dcir", "w_gitt", "w_rate", "w_cp", "w_peak", "w_sd", "w_rpt", "w_crate"]
+_WIDE_DOUBLES = (
+    "q_rpt_ah q_rpt_chg_ah rpt_protocol_c_rate self_disch_rest_duration_h self_disch_v_start_v self_disch_v_end_v "
+    "self_disch_ambient_c dcir_n_pulses hppc_n_pulses_dchg"
+).split()
+_WIDE_LISTS = (
+    "rate_cap_c_rates rate_cap_q_curve rate_cap_c_rates_chg rate_cap_q_chg_curve const_power_levels_w "
+    "const_power_t_dis_curve const_power_energy_curve ocv_soc_grid v_oc_curve ocv_soc_grid_chg v_oc_chg_curve "
+    "dcir_soc_nominal dcir_soc_at_pulse dcir_i_at_pulse r_dc_curve peak_power_soc_grid p_peak_10s_dchg_curve "
+    "p_peak_10s_chg_curve hppc_soc_at_pulse_dchg hppc_i_at_pulse_dchg r0_dchg_curve r1_dchg_curve c1_dchg_curve "
+    "r2_dchg_curve c2_dchg_curve gitt_soc_grid r_pulse_curve tau_diff_curve v_inf_curve"
+).split()
+ORACLES["wide_cells"] = with_(*_WIDE_PARTS) + f"""
+select {K}, make as cohort, test_session_start, test_session_end, 'LFP' as chemistry, 'ok' as qc_flag,
+  'cellspark-1.0' as processor_version, round(case when max_cap > 0 then q_rpt_ah / max_cap * 100.0 end, 6) as "Soh",
+  {rounded(_WIDE_DOUBLES)}, {', '.join(_WIDE_LISTS)}, round({_DSOC}, 6) as self_disch_dsoc_per_day,
+  'details/cohort=' || make || '/cell_id=' || cell_no || '/batch=' || batch || '/ocv.parquet' as ocv_details_path
+from cells {' '.join(f'left join {w} using ({K})' for w in _WIDE_NAMES)}"""
