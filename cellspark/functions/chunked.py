@@ -7,7 +7,7 @@ the order, and a window over one summary row per bucket, whose carry is joined b
 holds more than one bucket of rows, or one key's bucket summaries.
 
 ``bucket`` must be monotone in ``order``: every row of a lower bucket sorts before every row of a
-higher one. Key columns must not be null (see ``operators.segment.select_test``).
+higher one. Key columns must be neither null nor floating-point (see ``operators.segment.with_keys``).
 """
 
 from __future__ import annotations

@@ -30,12 +30,6 @@ def has(name: Column, part: str) -> Column:
     return F.lower(name).contains(part.lower())
 
 
-def usable_capacity() -> Column:
-    """True where the nominal capacity can be divided by: finite and positive."""
-    cap = F.col("max_cap")
-    return cap.isNotNull() & ~F.isnan(cap) & (cap > 0) & (cap < float("inf"))
-
-
 def blank_to_null(col: Column, kind: str) -> Column:
     """Null out the values an upsert treats as "no value": NaN, empty arrays and blank strings."""
     if kind.startswith("array"):

@@ -12,33 +12,52 @@ from pyspark.sql import functions as F
 
 from cellspark.functions.chunked import islands
 from cellspark.functions.scalar import MICROS, seconds_between
-from cellspark.schemas import CELL_KEYS
 
 # Total time order: ties in time are settled by the measured values, so results never depend on row order.
 TIME_ORDER = ["absolute_time", "cycler_step_no", "capacity_ah", "volt_v", "current_a"]
 CHUNK_SECONDS = 3600
 
 
-def select_test(raw: DataFrame, *tests: str, any_case: bool = False) -> DataFrame:
-    """Rows of the given protocols, with key columns that can be joined on.
+# Cell key inside the operators. The capacity is text here: Spark normalises floating-point keys in windows
+# and joins but not in aggregates, so a double key would be shuffled again at every change between them.
+KEYS = ["cell_no", "make", "batch", "cap"]
+SAMPLE_COLS = ["cycle_no", "step_name", *TIME_ORDER]
+
 
-    Missing ``max_cap`` becomes NaN and missing text keys become ``'None'``; ``restore_keys`` turns the
-    NaN back to null.
+def with_keys(raw: DataFrame) -> DataFrame:
+    """Samples under non-null keys, without the columns no operator reads.
+
+    Missing text keys become ``'None'``; a missing capacity becomes ``'NaN'``, which ``restore_keys`` turns
+    back into null.
     """
-    name = F.upper("test") if any_case else F.col("test")
-    nan = F.lit(float("nan"))
-    return raw.where(name.isin(*tests)).withColumns(
-        {
-            "make": F.coalesce("make", F.lit("None")),
-            "batch": F.coalesce("batch", F.lit("None")),
-            "cell_no": F.coalesce("cell_no", F.lit("None")),
-            "max_cap": F.coalesce("max_cap", nan),
-        }
+    none = F.lit("None")
+    return raw.select(
+        F.coalesce("cell_no", none).alias("cell_no"),
+        F.coalesce("make", none).alias("make"),
+        F.coalesce("batch", none).alias("batch"),
+        F.coalesce((F.col("max_cap") + 0.0).cast("string"), F.lit("NaN")).alias("cap"),
+        *SAMPLE_COLS,
     )
 
 
+def select_test(raw: DataFrame, *tests: str, any_case: bool = False) -> DataFrame:
+    """Keyed samples of the given protocols."""
+    name = F.upper("test") if any_case else F.col("test")
+    return with_keys(raw.where(name.isin(*tests)))
+
+
+def nominal() -> Column:
+    """The nominal capacity as a number; exact, since a double's text form reads back as the same double."""
+    return F.col("cap").cast("double")
+
+
+def usable_capacity() -> Column:
+    """True where the nominal capacity can be divided by: finite and positive."""
+    return ~F.isnan(nominal()) & (nominal() > 0) & (nominal() < float("inf"))
+
+
 def restore_keys(df: DataFrame) -> DataFrame:
-    return df.withColumn("max_cap", F.nanvl("max_cap", F.lit(None).cast("double")))
+    return df.withColumn("max_cap", F.nanvl(nominal(), F.lit(None).cast("double"))).drop("cap")
 
 
 def with_chunk(raw: DataFrame, chunk_seconds: int = CHUNK_SECONDS) -> DataFrame:
@@ -46,7 +65,7 @@ def with_chunk(raw: DataFrame, chunk_seconds: int = CHUNK_SECONDS) -> DataFrame:
     return raw.withColumn("_chunk", F.floor(F.unix_micros("absolute_time") / F.lit(chunk_seconds * MICROS)))
 
 
-def fitting_chunk_seconds(raw: DataFrame, keys: list[str] = CELL_KEYS, max_rows: int = 2_000_000) -> int:
+def fitting_chunk_seconds(raw: DataFrame, keys: list[str] = KEYS, max_rows: int = 2_000_000) -> int:
     """Largest slice width, from a day down to a second, at which no slice exceeds ``max_rows`` rows.
 
     One aggregation over the key and time columns; only one number per width reaches the driver.
@@ -67,7 +86,7 @@ def fitting_chunk_seconds(raw: DataFrame, keys: list[str] = CELL_KEYS, max_rows:
 
 def label_islands(
     raw: DataFrame,
-    keys: list[str] = CELL_KEYS,
+    keys: list[str] = KEYS,
     on: tuple[str, ...] = ("cycle_no", "step_name"),
     chunk_seconds: int = CHUNK_SECONDS,
 ) -> DataFrame:
@@ -84,7 +103,7 @@ def last_by(value: str, order: Column) -> Column:
     return F.max_by(value, F.when(F.col(value).isNotNull(), order))
 
 
-def island_steps(rows: DataFrame, keys: list[str] = CELL_KEYS, **extra: Column) -> DataFrame:
+def island_steps(rows: DataFrame, keys: list[str] = KEYS, **extra: Column) -> DataFrame:
     """One row per island of ``label_islands`` output.
 
     Equal-length order keys (``_idx``) keep this a hash aggregate whose map side runs where the rows
@@ -110,7 +129,7 @@ def island_steps(rows: DataFrame, keys: list[str] = CELL_KEYS, **extra: Column)
     ).drop("_cap_start", "_cap_end")
 
 
-def number_rows(raw: DataFrame, keys: list[str] = CELL_KEYS, chunk_seconds: int = CHUNK_SECONDS) -> DataFrame:
+def number_rows(raw: DataFrame, keys: list[str] = KEYS, chunk_seconds: int = CHUNK_SECONDS) -> DataFrame:
     """Rows with ``_step_no``: the native step number, or the name-run number in cells that have none.
 
     Cells with native numbers need no ordering at all, so only the others go through the windows. Rows
@@ -125,7 +144,7 @@ def number_rows(raw: DataFrame, keys: list[str] = CELL_KEYS, chunk_seconds: int
     )
 
 
-def numbered_steps(rows: DataFrame, keys: list[str] = CELL_KEYS) -> DataFrame:
+def numbered_steps(rows: DataFrame, keys: list[str] = KEYS) -> DataFrame:
     """One row per numbered step of ``number_rows`` output."""
     order = F.struct(*TIME_ORDER)
     return (

@@ -77,6 +77,10 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def keyed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segment.with_keys(events(spark, sf_dir))
+
+
 @query
 def cycle_agg(spark, sf_dir):
     return rounded(cycles.aggregate_per_cycle(fleet(spark, sf_dir, "RPT", "Longterm")), 9)
@@ -178,22 +182,22 @@ def conform_raw(spark, sf_dir):
 
 @query
 def islands_events(spark, sf_dir):
-    rows = segment.label_islands(events(spark, sf_dir))
+    rows = segment.restore_keys(segment.label_islands(keyed_events(spark, sf_dir)))
     return naive(rows.select(*CELL_KEYS, "absolute_time", "step_name", F.col("_idx").alias("idx"), F.col("_block").alias("block")))
 
 
 @query
 def steps_events(spark, sf_dir):
-    steps = segment.island_steps(segment.label_islands(events(spark, sf_dir)))
-    return naive(rounded(steps.withColumnRenamed("_block", "block"), 9))
+    steps = segment.island_steps(segment.label_islands(keyed_events(spark, sf_dir)))
+    return naive(rounded(segment.restore_keys(steps).withColumnRenamed("_block", "block"), 9))
 
 
 @query
 def step_neighbours_events(spark, sf_dir):
-    steps = segment.island_steps(segment.label_islands(events(spark, sf_dir)))
-    near = neighbours(steps, CELL_KEYS, "_block", ["step_name", "duration_s"], before="p", after="n")
+    steps = segment.island_steps(segment.label_islands(keyed_events(spark, sf_dir)))
+    near = neighbours(steps, segment.KEYS, "_block", ["step_name", "duration_s"], before="p", after="n")
     return rounded(
-        near.select(
+        segment.restore_keys(near).select(
             *CELL_KEYS,
             F.col("_block").alias("block"),
             F.col("p.step_name").alias("prev_step"),
@@ -212,15 +216,16 @@ def steps_by_number(spark, sf_dir):
 
 @query
 def soc_at_step_start_events(spark, sf_dir):
-    steps = segment.island_steps(segment.label_islands(events(spark, sf_dir)))
-    return rounded(soc_at_step_start(cut(steps)).withColumnRenamed("_block", "block"))
+    steps = segment.island_steps(segment.label_islands(keyed_events(spark, sf_dir)))
+    return rounded(segment.restore_keys(soc_at_step_start(cut(steps))).withColumnRenamed("_block", "block"))
 
 
 @query
 def rate_medians_events(spark, sf_dir):
     """Median capacity per cell and step kind, over all events."""
-    rows = events(spark, sf_dir)
-    return rounded(exact_median(rows, [*CELL_KEYS, "step_name"], "volt_v", "median_v"), 9)
+    rows = keyed_events(spark, sf_dir)
+    medians = exact_median(rows, [*segment.KEYS, "step_name"], "volt_v", "median_v")
+    return rounded(segment.restore_keys(medians), 9)
 
 
 def event_files(spark, sf_dir) -> DataFrame:
