@@ -22,7 +22,7 @@ STEP_BUCKET = 4096
 
 def step_bucket(col: str) -> Column:
     """Bucket of a step ordinal: at most ``STEP_BUCKET`` distinct ordinals each."""
-    return F.floor(F.col(col) / STEP_BUCKET)
+    return F.coalesce(F.floor(F.col(col) / STEP_BUCKET), F.lit(0))
 
 
 def _local(keys: list[str], bucket: str, order: list) -> Window:
@@ -49,8 +49,9 @@ def islands(df: DataFrame, keys: list[str], bucket: str, order: list[str], on: l
 
     along = Window.partitionBy(*keys).orderBy(bucket)
     before = along.rowsBetween(Window.unboundedPreceding, -1)
+    ends = rows.withColumn("_next", F.lead(F.lit(1)).over(local)).where((F.col("_rn") == 1) | F.col("_next").isNull())
     carry = (
-        rows.groupBy(*keys, bucket)
+        ends.groupBy(*keys, bucket)
         .agg(
             F.max("_rn").alias("_rows"),
             F.max("_li").alias("_runs"),

@@ -1,24 +1,38 @@
-"""Materialising a table that several later steps start from."""
+"""Materialising tables that several later steps start from.
+
+Both functions write to the shared folder named by ``spark.checkpoint.dir``, so what they write outlives
+executors. A local session without that setting gets a fresh folder of its own; a cluster without it
+goes on with the plan uncut.
+"""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Checkpoint ``df`` to the shared folder named by ``spark.checkpoint.dir``.
-
-    Step tables are far smaller than the samples they come from and feed several branches of a plan, so
-    writing them once spares every branch the scan and keeps plans short. The files outlive executors.
-    A local session without the setting gets a fresh folder of its own; a cluster without it goes on
-    with the plan uncut.
-    """
-    context = df.sparkSession.sparkContext
+def _folder(spark: SparkSession) -> str | None:
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
         shared = context.getConf().get("spark.checkpoint.dir")
         if shared is None and not context.master.startswith("local"):
-            return df
+            return None
         context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="cellspark-checkpoint-"))
-    return df.checkpoint()
+    return context.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Checkpoint a step-sized table. It keeps its partitioning, and the plans that follow stay short."""
+    return df if _folder(df.sparkSession) is None else df.checkpoint()
+
+
+def store(df: DataFrame) -> DataFrame:
+    """Write a sample-sized table as Parquet: compressed, and later steps read only the columns they use."""
+    folder = _folder(df.sparkSession)
+    if folder is None:
+        return df
+    path = f"{folder}/cellspark-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -61,8 +61,12 @@ def restore_keys(df: DataFrame) -> DataFrame:
 
 
 def with_chunk(raw: DataFrame, chunk_seconds: int = CHUNK_SECONDS) -> DataFrame:
-    """Add ``_chunk``, the time slice that bounds every row-level window."""
-    return raw.withColumn("_chunk", F.floor(F.unix_micros("absolute_time") / F.lit(chunk_seconds * MICROS)))
+    """Add ``_chunk``, the time slice that bounds every row-level window.
+
+    It is never null, which spares the joins on it a null filter that would keep equal shuffles apart.
+    """
+    slice_no = F.floor(F.unix_micros("absolute_time") / F.lit(chunk_seconds * MICROS))
+    return raw.withColumn("_chunk", F.coalesce(slice_no, F.lit(0)))
 
 
 def fitting_chunk_seconds(raw: DataFrame, keys: list[str] = KEYS, max_rows: int = 2_000_000) -> int:
