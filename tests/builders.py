@@ -9,6 +9,11 @@ from cellspark.schemas import RAW
 START = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
 
 
+def _at(x, t):
+    x = x(t) if callable(x) else x
+    return None if x is None else float(x)
+
+
 class Cell:
     """Collects samples of one cell and test; steps follow each other one second apart."""
 
@@ -21,12 +26,11 @@ class Cell:
         self.number = self.number + 1 if number is None else number
         for k in range(n):
             t = seconds * k / (n - 1) if n > 1 else 0.0
-            at = lambda x: x(t) if callable(x) else x
-            i = at(current)
+            i = _at(current, t)
             row = dict(
-                self.key, cycle_no=cycle, step_name=name, volt_v=at(volts), current_a=i,
+                self.key, cycle_no=cycle, step_name=name, volt_v=_at(volts, t), current_a=i,
                 cycler_step_no=self.number if self.numbered else None,
-                capacity_ah=at(cap) if cap is not None else (None if i is None else i * t / 3600),
+                capacity_ah=_at(cap, t) if cap is not None else (None if i is None else i * t / 3600),
                 absolute_time=START + dt.timedelta(seconds=self.now + t),
             )
             self.rows.append({**row, **extra})
