@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 STEP_BUCKET = 4096
+SALTS = 16
 
 
 def step_bucket(col: str) -> Column:
@@ -129,15 +130,18 @@ def exact_median(df: DataFrame, keys: list[str], value: str, out: str) -> DataFr
     ``percentile_approx`` at accuracy 10000 is off by at most 1/10000 of the rank, so the values at
     quantiles 0.4995 and 0.5005 surely enclose the median. Only the values between them (about a
     thousandth of a big group, all of a small one) are ranked, after equal values have been merged;
-    those below count as one row. Null values are ignored.
+    those below count as one row. The join to the enclosing values is salted, and equal values are counted
+    before they move. Null values are ignored.
     """
     rows = df.select(*keys, value).where(F.col(value).isNotNull())
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(value), F.lit(SALTS)))
     fence = rows.groupBy(*keys).agg(
         F.percentile_approx(value, [0.4995, 0.5005], 10000).alias("_q"), F.count(F.lit(1)).alias("_n")
     )
+    fence = fence.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
     low, high = F.col("_q")[0], F.col("_q")[1]
     ranked = (
-        rows.join(fence, keys)
+        salted.join(fence, [*keys, "_salt"])
         .where(F.col(value) <= high)
         .groupBy(*keys, F.when(F.col(value) >= low, F.col(value)).alias("_value"))
         .agg(F.count(F.lit(1)).alias("_cnt"), F.first("_n").alias("_n"))
@@ -147,9 +151,15 @@ def exact_median(df: DataFrame, keys: list[str], value: str, out: str) -> DataFr
     )
     ranked = ranked.withColumn("_rank", F.sum("_cnt").over(upto))
 
+    first_rank, second_rank = F.floor((F.col("_n") + 1) / 2), F.floor((F.col("_n") + 2) / 2)
+    below = F.coalesce(F.max(F.when(F.col("_value").isNull(), F.col("_cnt"))), F.lit(0))
+    enclosed = (below < F.max(first_rank)) & (F.max("_rank") >= F.max(second_rank))
+
     def middle(rank: Column) -> Column:
         return F.min(F.when(F.col("_rank") >= rank, F.col("_value")))
 
     return ranked.groupBy(*keys).agg(
-        ((middle(F.floor((F.col("_n") + 1) / 2)) + middle(F.floor((F.col("_n") + 2) / 2))) / 2).alias(out)
+        F.when(enclosed, (middle(first_rank) + middle(second_rank)) / 2)
+        .otherwise(F.raise_error(F.lit("quantile sketch does not enclose the median")))
+        .alias(out)
     )

@@ -60,13 +60,22 @@ def restore_keys(df: DataFrame) -> DataFrame:
     return df.withColumn("max_cap", F.nanvl(nominal(), F.lit(None).cast("double"))).drop("cap")
 
 
+def chunk_of(time: str, chunk_seconds: int) -> Column:
+    return F.coalesce(F.floor(F.unix_micros(time) / F.lit(chunk_seconds * MICROS)), F.lit(0))
+
+
 def with_chunk(raw: DataFrame, chunk_seconds: int = CHUNK_SECONDS) -> DataFrame:
     """Add ``_chunk``, the time slice that bounds every row-level window.
 
     It is never null, which spares the joins on it a null filter that would keep equal shuffles apart.
     """
-    slice_no = F.floor(F.unix_micros("absolute_time") / F.lit(chunk_seconds * MICROS))
-    return raw.withColumn("_chunk", F.coalesce(slice_no, F.lit(0)))
+    return raw.withColumn("_chunk", chunk_of("absolute_time", chunk_seconds))
+
+
+def over_chunks(steps: DataFrame, chunk_seconds: int) -> DataFrame:
+    """Each step once per time slice it touches, so that joining its samples can be spread over slices."""
+    first, last = (chunk_of(c, chunk_seconds) for c in ("start_time", "end_time"))
+    return steps.withColumn("_chunk", F.explode(F.sequence(first, last)))
 
 
 def fitting_chunk_seconds(raw: DataFrame, keys: list[str] = KEYS, max_rows: int = 2_000_000) -> int:
