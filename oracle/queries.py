@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.raw import EVENTS, ISLANDS, K, MICROS, NUMBERED, ORDER, SOC, fleet, half_even, rounded, with_
+from oracle.raw import EVENTS, ISLANDS, K, NUMBERED, SOC, fleet, half_even, rounded, with_
 
 ORACLES: dict[str, str] = {}
 
@@ -25,7 +25,7 @@ select {K}, cycle_no, {rounded(['chg_cap_ah', 'avg_chg_v', 'chg_v_max', 'dchg_ca
   round(case when chg_cap_ah > 0 then dchg_cap_ah / chg_cap_ah end, 9) as coulombic_eff
 from cycles"""
 
-ORACLES["cycle_agg"] = with_(fleet("RPT", "Longterm"), CYCLES.replace(" from raw)", " from (select * from raw))")) + _CYCLE_OUT
+ORACLES["cycle_agg"] = with_(fleet("RPT", "Longterm"), CYCLES) + _CYCLE_OUT
 ORACLES["cycle_agg_events"] = with_(EVENTS, CYCLES) + _CYCLE_OUT
 
 ORACLES["state_of_health"] = with_(fleet("RPT"), CYCLES) + f"""
