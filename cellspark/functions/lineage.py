@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 def _folder(spark: SparkSession) -> str | None:
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        shared = context.getConf().get("spark.checkpoint.dir")
+        shared = spark.conf.get("spark.checkpoint.dir", None)
         if shared is None and not context.master.startswith("local"):
             return None
         context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="cellspark-checkpoint-"))
