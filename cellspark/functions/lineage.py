@@ -1,38 +1,40 @@
 """Materialising tables that several later steps start from.
 
-Both functions write to the shared folder named by ``spark.checkpoint.dir``, so what they write outlives
-executors. A local session without that setting gets a fresh folder of its own; a cluster without it
-goes on with the plan uncut.
+Both functions write to a folder that the driver and all executors share, so what they write outlives
+executors: the one named by ``spark.checkpoint.dir``, else ``_checkpoints`` in the session's warehouse.
+They behave alike on every master. Stored tables lie below ``tables-<application id>``, which can be
+removed once the application has ended; checkpoints go by ``spark.cleaner.referenceTracking.cleanCheckpoints``.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def _folder(spark: SparkSession) -> str | None:
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate tables; read from the session, set only where it is unset."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        if shared is None and not context.master.startswith("local"):
-            return None
-        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="cellspark-checkpoint-"))
+        own = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or own)
     return context.getCheckpointDir()
 
 
 def cut(df: DataFrame) -> DataFrame:
     """Checkpoint a step-sized table. It keeps its partitioning, and the plans that follow stay short."""
-    return df if _folder(df.sparkSession) is None else df.checkpoint()
+    shared_folder(df.sparkSession)
+    return df.checkpoint()
+
+
+def table_path(spark: SparkSession, kind: str) -> str:
+    """A fresh path in the shared folder."""
+    return f"{shared_folder(spark)}/tables-{spark.sparkContext.applicationId}/{kind}-{uuid.uuid4().hex}"
 
 
 def store(df: DataFrame) -> DataFrame:
-    """Write a sample-sized table as Parquet: compressed, and later steps read only the columns they use."""
-    folder = _folder(df.sparkSession)
-    if folder is None:
-        return df
-    path = f"{folder}/cellspark-{uuid.uuid4().hex}"
+    """Write a table as Parquet: computed once, compressed, and later steps read only the columns they use."""
+    path = table_path(df.sparkSession, "table")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
