@@ -10,12 +10,38 @@ executor costs one round.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellspark.functions.lineage import store
 
 
+class Forest:
+    """Union of numbered nodes inside one task."""
+
+    def __init__(self, nodes: int):
+        self.parent = np.arange(nodes)
+
+    def link(self, u: np.ndarray, v: np.ndarray) -> None:
+        """Join the trees of every pair u[i], v[i]."""
+        parent = self.parent
+        while True:
+            while not np.array_equal(up := parent[parent], parent):
+                parent[:] = up
+            pu, pv = parent[u], parent[v]
+            apart = pu != pv
+            if not apart.any():
+                return
+            u, v, pu, pv = u[apart], v[apart], pu[apart], pv[apart]
+            np.minimum.at(parent, np.maximum(pu, pv), np.minimum(pu, pv))
+
+    def edges(self) -> tuple[np.ndarray, np.ndarray]:
+        """(node, root) of every node that is not a root: at most one link a node."""
+        linked = np.flatnonzero(self.parent != np.arange(len(self.parent)))
+        return linked, self.parent[linked]
+
+
 def connected_components(links: DataFrame) -> DataFrame:
     """(id, component) of every node in ``links`` (src, dst: long); component is the smallest id reachable.
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellspark.functions.lineage import store
-from cellspark.llm.components import connected_components
+from cellspark.llm.components import Forest, connected_components
 
 SHINGLE_WORDS = 3
 SEED = 42
@@ -89,19 +89,7 @@ def forest(left: np.ndarray, right: np.ndarray | None, radius: int) -> tuple[np.
     (a, a_low, a_high), (b, b_low, b_high) = sides[0], sides[-1]
     nodes = a if own else np.concatenate((a, b))
     shift = 0 if own else len(a)
-    parent = np.arange(len(nodes))
-
-    def join(u: np.ndarray, v: np.ndarray) -> None:
-        while True:
-            while not np.array_equal(up := parent[parent], parent):
-                parent[:] = up
-            pu, pv = parent[u], parent[v]
-            apart = pu != pv
-            if not apart.any():
-                return
-            u, v, pu, pv = u[apart], v[apart], pu[apart], pv[apart]
-            np.minimum.at(parent, np.maximum(pu, pv), np.minimum(pu, pv))
-
+    trees = Forest(len(nodes))
     for i in range(len(a_low)):
         gap = np.maximum(0, np.maximum(a_low[i] - b_high, b_low - a_high[i])).sum(axis=1)
         rows = a[i * BLOCK : (i + 1) * BLOCK, None]
@@ -118,12 +106,12 @@ def forest(left: np.ndarray, right: np.ndarray | None, radius: int) -> tuple[np.
                 found_u.append(u)
                 found_v.append(v)
                 if sum(map(len, found_u)) > 1_000_000:
-                    join(np.concatenate(found_u), np.concatenate(found_v))
+                    trees.link(np.concatenate(found_u), np.concatenate(found_v))
                     found_u, found_v = [], []
         if found_u:
-            join(np.concatenate(found_u), np.concatenate(found_v))
-    linked = np.flatnonzero(parent != np.arange(len(nodes)))
-    return nodes[linked], nodes[parent[linked]]
+            trees.link(np.concatenate(found_u), np.concatenate(found_v))
+    node, root = trees.edges()
+    return nodes[node], nodes[root]
 
 
 def links(nodes: DataFrame, radius: int = RADIUS, tile_rows: int = TILE_ROWS) -> DataFrame:
