@@ -14,10 +14,10 @@ rules(verdict, h, pre) AS (VALUES {", ".join(str(r) for r in urls.RULES)}),
 fit AS (
   SELECT rid, arg_max(r.verdict, length(h || pre)) AS verdict, arg_max(h || pre, length(h || pre)) AS rule
   FROM p JOIN rules r ON (p.host = h OR ends_with(p.host, '.' || h)) AND starts_with(p.path, pre) GROUP BY rid),
-at AS (SELECT p.*, fit.verdict AS said, fit.rule FROM p LEFT JOIN fit USING (rid)),
+judged AS (SELECT p.*, fit.verdict AS said, fit.rule FROM p LEFT JOIN fit USING (rid)),
 seeds AS (
   SELECT host, avg(CASE WHEN said = 'allow' THEN 1.0::DOUBLE ELSE 0 END) AS t, avg(CASE WHEN said = 'block' THEN 1.0::DOUBLE ELSE 0 END) AS d
-  FROM at WHERE host <> '' GROUP BY host),
+  FROM judged WHERE host <> '' GROUP BY host),
 hosts AS (SELECT DISTINCT host FROM p WHERE host <> ''),
 linked AS (
   SELECT DISTINCT rid, host AS src, translate(regexp_extract(u, '//([^/?#]*)', 1), '{urls.UPPER}', '{urls.LOWER}') AS dst
@@ -40,9 +40,9 @@ walk(step, kind, host, score) AS (
 scores AS (
   SELECT host, round(sum(CASE WHEN kind = 0 THEN score ELSE 0 END), 9) AS trust, round(sum(CASE WHEN kind = 1 THEN score ELSE 0 END), 9) AS distrust
   FROM walk WHERE step = {urls.ROUNDS} AND host <> '*' GROUP BY host)
-SELECT page_id, at.host, path, rule, coalesce(trust, 0) AS trust, coalesce(distrust, 0) AS distrust,
+SELECT page_id, judged.host, path, rule, coalesce(trust, 0) AS trust, coalesce(distrust, 0) AS distrust,
   coalesce(said, CASE WHEN coalesce(distrust, 0) >= {urls.THRESHOLD} AND distrust > coalesce(trust, 0) THEN 'block' ELSE 'allow' END) AS verdict
-FROM at LEFT JOIN scores ON at.host = scores.host
+FROM judged LEFT JOIN scores ON judged.host = scores.host
 """
 
 
