@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellspark.functions.lineage import store
+from cellspark.llm.rows import packed, texts
 
 WINDOW = 10
 BLOCK_BYTES = 16 << 20
@@ -101,40 +102,38 @@ def scan(docs: DataFrame, benchmark: DataFrame, keep: list[str], text: str = "te
     total = tests.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-total // block_bytes))
     dealt = tests.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(blocks)))
-    out = docs.select(
-        F.struct(*keep).alias("row"), F.col(text).cast("string").alias("text"), F.lit(0).cast("bigint").alias("n_words"),
+    rows = packed(docs, keep, text)
+    beside = [c for c in rows.columns if c != "row"]
+    kind = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in rows.columns)
+    out = rows.select(
+        "*", F.lit(0).cast("bigint").alias("n_words"),
         F.array().cast("array<struct<start:bigint,end:bigint>>").alias("hits"), F.array().cast("array<string>").alias("items"),
     )
-    kind = docs.select(F.struct(*keep).alias("row")).schema["row"].dataType.simpleString()
     for block in range(blocks):
-        rows = dealt.where(F.col("block") == block).select("item", F.encode("text", "UTF-8").alias("text")).collect()
-        sent = spark.sparkContext.broadcast([(r["item"], None if r["text"] is None else bytes(r["text"])) for r in rows])
-        last = block == blocks - 1
+        held = dealt.where(F.col("block") == block).select("item", F.encode("text", "UTF-8").alias("text")).collect()
+        sent = spark.sparkContext.broadcast([(r["item"], None if r["text"] is None else bytes(r["text"])) for r in held])
 
-        def run(batches: Iterable[pa.RecordBatch], sent=sent, last=last) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterable[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             windows = Windows(sent.value, size)
             for batch in batches:
                 n, hits, items = [], [], []
                 old_hits, old_items = batch.column("hits"), batch.column("items")
-                for i, x in enumerate(batch.column("text").cast(pa.binary())):
-                    n_words, spans, names = windows.scan(x.as_py())
+                for i, x in enumerate(texts(batch, text)):
+                    n_words, spans, names = windows.scan(x)
                     n.append(n_words)
                     hits.append([{"start": s, "end": e} for s, e in merged([*spans, *((h["start"], h["end"]) for h in old_hits[i].as_py())])])
                     items.append(sorted(names.union(old_items[i].as_py())))
-                columns = {"row": batch.column("row"), "text": batch.column("text")}
-                if last:
-                    del columns["text"]
-                columns |= {
+                columns = {c: batch.column(c) for c in ("row", *beside)} | {
                     "n_words": pa.array(n, pa.int64()),
                     "hits": pa.array(hits, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
                     "items": pa.array(items, pa.list_(pa.string())),
                 }
                 yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
-        out = out.mapInArrow(run, f"row {kind}, {'' if last else 'text string, '}{FOUND}")
-        if not last:
+        out = out.mapInArrow(run, f"{kind}, {FOUND}")
+        if block < blocks - 1:
             out = store(out)
-    return out
+    return out.drop(*beside)
 
 
 def report(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", size: int = WINDOW,
@@ -167,11 +166,11 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", size
         for batch in batches:
             row = batch.column("row")
             at = row.type.get_field_index(text)
-            texts = [
+            cleaned = [
                 without(x.as_py(), [(h["start"], h["end"]) for h in spans.as_py()]).decode() if len(spans) else (x.as_py() or b"").decode() if x.is_valid else None
                 for x, spans in zip(row.field(at).cast(pa.binary()), batch.column("hits"), strict=True)
             ]
-            fields = [pa.array(texts, row.type.field(at).type) if i == at else row.field(i) for i in range(row.type.num_fields)]
+            fields = [pa.array(cleaned, row.type.field(at).type) if i == at else row.field(i) for i in range(row.type.num_fields)]
             yield pa.RecordBatch.from_arrays([pa.StructArray.from_arrays(fields, fields=list(row.type))], ["row"])
 
     return found.select("row", "hits").mapInArrow(run, f"row {kind}").select("row.*")

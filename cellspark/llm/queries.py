@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellspark.llm import chat, decontaminate, lines, oracles, packing, secrets, simhash, urls, vectors
+from cellspark.llm import chat, decontaminate, lines, oracles, packing, quality, secrets, simhash, urls, vectors, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -54,6 +54,11 @@ def op4_benchmark_decontamination(spark, sf_dir):
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query()
+def op5_quality_classifier(spark, sf_dir):
+    return quality.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query(oracles.VECTORS)
 def op6_embedding_near_dedup(spark, sf_dir):
     return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
@@ -69,6 +74,11 @@ def op8_simhash_near_dedup(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query(oracles.WARC)
+def op9_warc_round_trip(spark, sf_dir):
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 @query(oracles.LINES)
 def op10_line_dedup(spark, sf_dir):
     return lines.dedup_lines(table(spark, sf_dir, "documents")).select("row.doc_id", "text", "n_lines", "n_removed")
