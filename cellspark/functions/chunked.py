@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 STEP_BUCKET = 4096
-SALTS = 16
+VALUE_STEPS, VALUE_BASE = 1_000, 2_000_000
 
 
 def step_bucket(col: str) -> Column:
@@ -124,42 +124,41 @@ def ordinal(df: DataFrame, keys: list[str], bucket: str, order: list[str], out:
     )
 
 
+def value_bucket(value: Column) -> Column:
+    """A whole number that grows with a double: its sign and logarithm in steps of a thousandth of an octave."""
+    size = F.floor(F.log2(F.abs(value)) * VALUE_STEPS) + VALUE_BASE
+    return (
+        F.when(F.isnan(value), 3 * VALUE_BASE)
+        .when(value == 0, 0)
+        .when(F.abs(value) == float("inf"), F.signum(value) * 2 * VALUE_BASE)
+        .otherwise(F.signum(value) * size)
+        .cast("bigint")
+    )
+
+
 def exact_median(df: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
     """Exact median of ``value`` per key, without holding a key's values in one task.
 
-    ``percentile_approx`` at accuracy 10000 is off by at most 1/10000 of the rank, so the values at
-    quantiles 0.4995 and 0.5005 surely enclose the median. Only the values between them (about a
-    thousandth of a big group, all of a small one) are ranked, after equal values have been merged;
-    those below count as one row. The join to the enclosing values is salted, and equal values are counted
-    before they move. Null values are ignored.
+    Equal values are counted first, before they move. The counts of each bucket of near values tell which
+    bucket holds the middle ranks; only its values are ranked. Null values are ignored.
     """
-    rows = df.select(*keys, value).where(F.col(value).isNotNull())
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(value), F.lit(SALTS)))
-    fence = rows.groupBy(*keys).agg(
-        F.percentile_approx(value, [0.4995, 0.5005], 10000).alias("_q"), F.count(F.lit(1)).alias("_n")
+    counts = (
+        df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_value")).agg(F.count(F.lit(1)).alias("_cnt"))
+    ).withColumn("_bucket", value_bucket(F.col("_value")))
+    key = Window.partitionBy(*keys)
+    middle = F.col("_upto") - F.col("_cnt") < F.floor((F.col("_n") + 2) / 2), F.col("_upto") >= F.floor((F.col("_n") + 1) / 2)
+    held = (
+        counts.groupBy(*keys, "_bucket")
+        .agg(F.sum("_cnt").alias("_cnt"))
+        .withColumn("_upto", F.sum("_cnt").over(key.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)))
+        .withColumn("_n", F.sum("_cnt").over(key))
+        .where(middle[0] & middle[1])
+        .select(*keys, "_bucket", (F.col("_upto") - F.col("_cnt")).alias("_before"), "_n")
     )
-    fence = fence.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
-    low, high = F.col("_q")[0], F.col("_q")[1]
+    inside = Window.partitionBy(*keys, "_bucket").orderBy("_value").rowsBetween(Window.unboundedPreceding, 0)
     ranked = (
-        salted.join(fence, [*keys, "_salt"])
-        .where(F.col(value) <= high)
-        .groupBy(*keys, F.when(F.col(value) >= low, F.col(value)).alias("_value"))
-        .agg(F.count(F.lit(1)).alias("_cnt"), F.first("_n").alias("_n"))
-    )
-    upto = (
-        Window.partitionBy(*keys).orderBy(F.col("_value").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
-    )
-    ranked = ranked.withColumn("_rank", F.sum("_cnt").over(upto))
-
-    first_rank, second_rank = F.floor((F.col("_n") + 1) / 2), F.floor((F.col("_n") + 2) / 2)
-    below = F.coalesce(F.max(F.when(F.col("_value").isNull(), F.col("_cnt"))), F.lit(0))
-    enclosed = (below < F.max(first_rank)) & (F.max("_rank") >= F.max(second_rank))
-
-    def middle(rank: Column) -> Column:
-        return F.min(F.when(F.col("_rank") >= rank, F.col("_value")))
-
-    return ranked.groupBy(*keys).agg(
-        F.when(enclosed, (middle(first_rank) + middle(second_rank)) / 2)
-        .otherwise(F.raise_error(F.lit("quantile sketch does not enclose the median")))
-        .alias(out)
+        counts.join(held, [*keys, "_bucket"])
+        .withColumn("_upto", F.col("_before") + F.sum("_cnt").over(inside))
+        .where(middle[0] & middle[1])
     )
+    return ranked.groupBy(*keys).agg(((F.min("_value") + F.max("_value")) / 2).alias(out))

@@ -7,7 +7,7 @@ falls back to runs of equal ``step_name``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellspark.functions.chunked import islands
@@ -78,25 +78,6 @@ def over_chunks(steps: DataFrame, chunk_seconds: int) -> DataFrame:
     return steps.withColumn("_chunk", F.explode(F.sequence(first, last)))
 
 
-def fitting_chunk_seconds(raw: DataFrame, keys: list[str] = KEYS, max_rows: int = 2_000_000) -> int:
-    """Largest slice width, from a day down to a second, at which no slice exceeds ``max_rows`` rows.
-
-    One aggregation over the key and time columns; only one number per width reaches the driver.
-    """
-    widths = [86_400, 21_600, 3_600, 600, 60, 10, 1]
-    second = F.floor(F.unix_micros("absolute_time") / F.lit(MICROS))
-    level = raw.groupBy(*keys, second.alias("_second")).agg(F.count(F.lit(1)).alias("_n"))
-    peaks = None
-    for width in reversed(widths):
-        level = level.groupBy(*keys, (F.floor(F.col("_second") / width) * width).alias("_second")).agg(
-            F.sum("_n").alias("_n")
-        )
-        peak = level.agg(F.max("_n").alias("peak")).select(F.lit(width).alias("width"), "peak")
-        peaks = peak if peaks is None else peaks.unionByName(peak)
-    fitting = peaks.where(F.col("peak") <= max_rows).agg(F.max("width")).first()[0]
-    return fitting or 1
-
-
 def label_islands(
     raw: DataFrame,
     keys: list[str] = KEYS,
@@ -146,13 +127,16 @@ def number_rows(raw: DataFrame, keys: list[str] = KEYS, chunk_seconds: int = CHU
     """Rows with ``_step_no``: the native step number, or the name-run number in cells that have none.
 
     Cells with native numbers need no ordering at all, so only the others go through the windows. Rows
-    without a number in a cell that has some are dropped.
+    without a number in a cell that has some are dropped. Whether a cell has numbers is told by one summary
+    row for each of its time slices, so its samples meet slice by slice and never in one task.
     """
-    native = raw.where(F.col("cycler_step_no").isNotNull())
-    native_cells = native.select(*keys).distinct()
-    unnumbered = raw.where(F.col("cycler_step_no").isNull()).join(native_cells, keys, "left_anti")
-    by_name = label_islands(unnumbered, keys, ("step_name",), chunk_seconds)
-    return native.withColumn("_step_no", F.col("cycler_step_no").cast("long")).unionByName(
+    rows = with_chunk(raw, chunk_seconds)
+    numbered = F.col("cycler_step_no").isNotNull()
+    slices = rows.groupBy(*keys, "_chunk").agg(F.max(numbered).alias("_has"))
+    plain = slices.withColumn("_native", F.max("_has").over(Window.partitionBy(*keys))).where(~F.col("_native"))
+    unnumbered = rows.where(~numbered).join(plain.select(*keys, "_chunk"), [*keys, "_chunk"], "left_semi")
+    by_name = islands(unnumbered, keys, "_chunk", TIME_ORDER, ["step_name"])
+    return raw.where(numbered).withColumn("_step_no", F.col("cycler_step_no").cast("long")).unionByName(
         by_name.withColumn("_step_no", F.col("_block").cast("long")).drop("_block", "_idx", "_chunk")
     )
 

@@ -25,8 +25,7 @@ def stream_incremental(
     Each batch only tells which groups changed; their rows are recomputed from their whole history, with
     partner tests, and upserted. Replaying a batch writes the same rows again.
     """
-    files = read_lake(spark, lake)
-    arrivals = spark.readStream.schema(files.schema).option("basePath", lake)
+    arrivals = spark.readStream.schema(read_lake(spark, lake).schema).option("basePath", lake)
     if max_files:
         arrivals = arrivals.option("maxFilesPerTrigger", max_files)
     arrivals = arrivals.parquet(lake).where(F.col("Test").isin(*PROCESSED_TESTS)).select(*GROUP_PARTITIONS)

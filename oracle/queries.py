@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.raw import EVENTS, ISLANDS, K, NUMBERED, SOC, fleet, half_even, rounded, with_
+from oracle.raw import EVENTS, ISLANDS, K, NUMBERED, SOC, fleet, half_even, lineitem, rounded, with_
 
 ORACLES: dict[str, str] = {}
 
@@ -405,20 +405,20 @@ select f."Test", f."Make", f."Batch", f."Cell" from files f join changed c on f.
 where (f."Test", c."Test") in (('SelfDischarge', 'OCVSOC'), ('OCVSOC', 'SelfDischarge'))"""
 
 
-def _user_state(name: str, prefix: str, where: str) -> str:
+def _user_state(name: str, prefix: str, where: str, shown: str = "true") -> str:
     return f"""
 {name} as (
-  select user_id, max(value) filter (event_type = 'click') as best,
+  select user_id, max(value) filter (event_type = 'click' and {shown}) as best,
     case when max(value) <= 150 then max(value) end as top,
     case when max(value) <= 120 then '{prefix}' || min(event_type) end as tag, min(ts) as first_seen,
     nullif(string_agg(cast(cast(round(value * 1e6) as bigint) as varchar), ',' order by value)
-      filter (event_type = 'error'), '') as errors
+      filter (event_type = 'error' and {shown}), '') as errors
   from events where {where} group by user_id
 )"""
 
 
 ORACLES["null_safe_upsert"] = with_(
-    _user_state("fresh", "new-", "ts >= '2024-01-16' and value > 20"), _user_state("known", "old-", "ts < '2024-01-16'")
+    _user_state("fresh", "new-", "ts >= '2024-01-16'", "value > 20"), _user_state("known", "old-", "ts < '2024-01-16'")
 ) + """
 select f.user_id, coalesce(f.best, k.best) as best, coalesce(f.top, k.top) as top, coalesce(f.tag, k.tag) as tag,
   least(f.first_seen, k.first_seen) as first_seen, coalesce(f.errors, k.errors) as errors
@@ -593,3 +593,16 @@ select {K}, make as cohort, test_session_start, test_session_end, 'LFP' as chemi
   {rounded(_WIDE_DOUBLES)}, {', '.join(_WIDE_LISTS)}, round({_DSOC}, 6) as self_disch_dsoc_per_day,
   'details/cohort=' || make || '/cell_id=' || cell_no || '/batch=' || batch || '/ocv.parquet' as ocv_details_path
 from cells {' '.join(f'left join {w} using ({K})' for w in _WIDE_NAMES)}"""
+
+
+def _of_lines(name: str, *tests: str) -> None:
+    """The query's SQL over order lines instead of the fleet."""
+    ORACLES[f"{name}_lineitem"] = ORACLES[name].replace(fleet(*tests), lineitem(tests[0]))
+
+
+for _name, _tests in {
+    "cycle_agg": ("RPT", "Longterm"), "state_of_health": ("RPT",), "rate_capability": ("RateCapability",), "self_discharge": ("SelfDischarge",),
+    "constant_power": ("ConstantPower",), "ocv_curves": ("OCVSOC",), "peak_power": ("PeakPower",), "hppc_pulses": ("HPPC",), "dcir_anchors": ("DCIR",),
+    "gitt_pulses": ("GITT",), "steps_by_number": ("HPPC",),
+}.items():
+    _of_lines(_name, *_tests)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cellspark.protocols import values_sql
+from queries.protocols import values_sql
 
 K = "make, batch, cell_no, max_cap"
 ORDER = (
@@ -50,6 +50,28 @@ raw as (
   from events
 )"""
 
+def lineitem(test: str) -> str:
+    """CTE ``raw``: orders as steps, their lines as samples."""
+    width = {"HPPC": 1000, "DCIR": 400, "PeakPower": 600, "GITT": 30000}.get(test, 60000)
+    step = "o_orderkey % 12" if test == "OCVSOC" else "o_orderkey"
+    sign = "case o_orderkey % 4 when 1 then cast(0 as double) when 2 then cast(1 as double) else cast(-1 as double) end"
+    return f"""
+raw as (
+  select lpad(cast(o_custkey // 15 as varchar), 8, '0') as cell_no, cast(o_orderkey % 5 as integer) as cycle_no,
+    case when (o_custkey // 15) % 4 <> 0 then cast({step} as integer) end as cycler_step_no,
+    case o_orderkey % 4 when 0 then 'CC_DChg' when 1 then 'Rest' when 2 then 'CC_Chg' else 'CP_DChg' end as step_name,
+    make_timestamp((o_orderkey * 16000000 + cast(l_quantity as bigint) * case when o_orderkey % 4 = 1 then 300000 else {width} end
+      + l_linenumber) * 1000) as absolute_time,
+    cast(3 as double) + l_quantity / cast(100 as double) + l_extendedprice * cast(1.2345678e-7 as double) as volt_v,
+    {sign} * (cast(1 as double) + round(l_discount * cast(100 as double))) as current_a,
+    {sign} * l_quantity / cast(50 as double) * cast(4.5 as double) as capacity_ah,
+    cast(null as varchar) as crate, cast(null as varchar) as drate, cast(null as varchar) as dod,
+    case when (o_custkey // 15) % 10 <> 9 then cast(5 as double) end as max_cap, '{test}' as test,
+    'MAKE' || cast((o_custkey // 15) % 4 as varchar) as make, cast((o_custkey // 15) % 2 as varchar) as batch
+  from orders join lineitem on o_orderkey = l_orderkey
+)"""
+
+
 # steps in time order: runs of equal (cycle, name)
 ISLANDS = f"""
 flagged as (

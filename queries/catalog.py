@@ -1,7 +1,8 @@
 """The queries over the given tables, by name.
 
-Two telemetry sources are derived from the tables: the ``supplier`` fleet, where every supplier is a
-cell running all protocols, and ``events``, where every user is a cell and every event a sample.
+Three telemetry sources are derived from the tables. Orders are steps of the cells of fifteen customers and
+their lines are samples (``*_lineitem``); every user of ``events`` is a cell and every event a sample; and every
+supplier is a cell that runs the reference programs in ``protocols``.
 Doubles are rounded for comparison here, and only here.
 """
 
@@ -24,7 +25,7 @@ from cellspark.operators.rate import extract_rate_capability
 from cellspark.operators.self_discharge import extract_self_discharge
 from cellspark.operators.soc import soc_at_step_start
 from cellspark.plans import select, upsert, wide
-from cellspark.protocols import run_fleet
+from queries.protocols import run_fleet
 from cellspark.schemas import CELL_KEYS
 from cellspark.sources import ingest
 
@@ -77,6 +78,42 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Milliseconds between two samples whose quantities differ by one, in steps that are no rest.
+LINE_MS = {"HPPC": 1_000, "DCIR": 400, "PeakPower": 600, "GITT": 30_000}
+OTHER_LINE_MS, REST_LINE_MS, ORDER_MS = 60_000, 300_000, 16_000_000
+ORDER_STEPS = ("CC_DChg", "Rest", "CC_Chg", "CP_DChg")
+
+
+def lineitem(spark: SparkSession, sf_dir: str, test: str) -> DataFrame:
+    """Samples of one protocol: an order is a step, and a line a sample of it.
+
+    Quantity gives time, voltage and charge, the discount gives current. A quarter of the cells has no step
+    numbers and a tenth no capacity. Open-circuit steps are twelfths of a cell's orders, which are long enough.
+    """
+    key, cell = F.col("o_orderkey"), F.floor(F.col("o_custkey") / 15)
+    step = key % 12 if test == "OCVSOC" else key
+    name = F.element_at(F.array(*map(F.lit, ORDER_STEPS)), (key % 4 + 1).cast("int"))
+    sign = F.when(name == "Rest", 0.0).when(name == "CC_Chg", 1.0).otherwise(-1.0)
+    width = F.when(name == "Rest", REST_LINE_MS).otherwise(LINE_MS.get(test, OTHER_LINE_MS))
+    none = F.lit(None).cast("string")
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    return spark.read.parquet(f"{sf_dir}/orders.parquet").join(lines, key == F.col("l_orderkey")).select(
+        F.lpad(cell.cast("string"), 8, "0").alias("cell_no"),
+        (key % 5).cast("int").alias("cycle_no"),
+        F.when(cell % 4 != 0, step.cast("int")).alias("cycler_step_no"),
+        name.alias("step_name"),
+        F.timestamp_millis(key * ORDER_MS + F.col("l_quantity").cast("bigint") * width + F.col("l_linenumber")).alias("absolute_time"),
+        (F.lit(3.0) + F.col("l_quantity") / 100 + F.col("l_extendedprice") * 1.2345678e-7).alias("volt_v"),
+        (sign * (F.lit(1.0) + F.rint(F.col("l_discount") * 100))).alias("current_a"),
+        (sign * F.col("l_quantity") / 50 * 4.5).alias("capacity_ah"),
+        none.alias("crate"), none.alias("drate"), none.alias("dod"),
+        F.when(cell % 10 != 9, 5.0).alias("max_cap"),
+        F.lit(test).alias("test"),
+        F.concat(F.lit("MAKE"), (cell % 4).cast("string")).alias("make"),
+        (cell % 2).cast("string").alias("batch"),
+    )
+
+
 def keyed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segment.with_keys(events(spark, sf_dir))
 
@@ -268,20 +305,20 @@ def changed_with_dependencies(spark, sf_dir):
 def null_safe_upsert(spark, sf_dir):
     """Early and late state of every user: blanks of the late one must not erase the early one."""
     ev = spark.read.parquet(f"{sf_dir}/events.parquet")
-    early, late = F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz"), F.col("value") > 20
+    early = F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")
 
-    def state(rows, prefix):
+    def state(rows, prefix, shown):
         return rows.groupBy("user_id").agg(
-            F.max(F.when(F.col("event_type") == "click", F.col("value"))).alias("best"),
+            F.max(F.when((F.col("event_type") == "click") & shown, F.col("value"))).alias("best"),
             F.when(F.max("value") > 150, float("nan")).otherwise(F.max("value")).alias("top"),
             F.when(F.max("value") > 120, F.lit("  ")).otherwise(F.concat(F.lit(prefix), F.min("event_type"))).alias("tag"),
             F.min("ts").alias("first_seen"),
-            F.sort_array(F.collect_list(F.when(F.col("event_type") == "error", F.col("value")))).alias("errors"),
+            F.sort_array(F.collect_list(F.when((F.col("event_type") == "error") & shown, F.col("value")))).alias("errors"),
         )
 
     types = {"best": "double", "top": "double", "tag": "string", "first_seen": "timestamp_ntz", "errors": "array<double>"}
     merged = upsert.merge_rows(
-        state(ev.where(~early & late), "new-"), state(ev.where(early), "old-"), ["user_id"], types,
+        state(ev.where(~early), "new-", F.col("value") > 20), state(ev.where(early), "old-", F.lit(True)), ["user_id"], types,
         earliest=("first_seen",),
     )
     return merged.withColumn("errors", text_of("errors"))
@@ -317,3 +354,60 @@ def dsoc_per_day(spark, sf_dir):
         [wide.ocv_arrays(extract_ocv_curves(raw)), wide.self_discharge_columns(extract_self_discharge(raw))],
     )
     return rounded(wide.with_dsoc_per_day(row).select(*CELL_KEYS, "self_disch_dsoc_per_day"))
+
+
+@query
+def cycle_agg_lineitem(spark, sf_dir):
+    return rounded(cycles.aggregate_per_cycle(lineitem(spark, sf_dir, "RPT")), 9)
+
+
+@query
+def state_of_health_lineitem(spark, sf_dir):
+    return rounded(cycles.state_of_health(cycles.rpt_capacity(lineitem(spark, sf_dir, "RPT"))))
+
+
+@query
+def rate_capability_lineitem(spark, sf_dir):
+    return rounded(extract_rate_capability(lineitem(spark, sf_dir, "RateCapability")))
+
+
+@query
+def self_discharge_lineitem(spark, sf_dir):
+    return rounded(extract_self_discharge(lineitem(spark, sf_dir, "SelfDischarge")))
+
+
+@query
+def constant_power_lineitem(spark, sf_dir):
+    return rounded(extract_constant_power(lineitem(spark, sf_dir, "ConstantPower")))
+
+
+@query
+def ocv_curves_lineitem(spark, sf_dir):
+    return rounded(extract_ocv_curves(lineitem(spark, sf_dir, "OCVSOC")))
+
+
+@query
+def peak_power_lineitem(spark, sf_dir):
+    return rounded(extract_peak_power(lineitem(spark, sf_dir, "PeakPower")))
+
+
+@query
+def hppc_pulses_lineitem(spark, sf_dir):
+    pulses = rounded(detect_hppc_pulses(lineitem(spark, sf_dir, "HPPC")))
+    return pulses.withColumns({c: F.round(c, 2) for c in ("C1_F", "C2_F")})
+
+
+@query
+def dcir_anchors_lineitem(spark, sf_dir):
+    return rounded(extract_dcir_anchors(lineitem(spark, sf_dir, "DCIR")))
+
+
+@query
+def gitt_pulses_lineitem(spark, sf_dir):
+    return rounded(extract_gitt_pulses(lineitem(spark, sf_dir, "GITT"), fit=False))
+
+
+@query
+def steps_by_number_lineitem(spark, sf_dir):
+    rows = segment.number_rows(segment.select_test(lineitem(spark, sf_dir, "HPPC"), "HPPC"))
+    return naive(rounded(segment.restore_keys(segment.numbered_steps(rows)).withColumnRenamed("_step_no", "step_no")))

@@ -109,8 +109,12 @@ def test_delta_falls_back_to_current_and_time(spark):
     assert got == pytest.approx([-0.36, -0.36, 0.0, 0.0, 0.0, 0.05])
 
 
-def test_slice_width_follows_density(spark):
-    dense = Cell("T").step("A", 99, 100)
-    assert segment.fitting_chunk_seconds(segment.with_keys(raw(spark, dense)), max_rows=1000) == 86_400
-    assert segment.fitting_chunk_seconds(segment.with_keys(raw(spark, dense)), max_rows=60) == 60
-    assert segment.fitting_chunk_seconds(segment.with_keys(raw(spark, dense)), max_rows=1) == 1
+def test_median_of_one_value_and_of_wide_ranges(spark):
+    rng = random.Random(8)
+    groups = {
+        "same": [2.5] * 5000, "pair": [1.0, 4.0], "signs": [rng.uniform(-3, 3) for _ in range(301)], "tiny": [rng.choice([-1, 1]) * 10.0 ** rng.randint(-300, 300) for _ in range(200)],
+        "zero": [0.0, -0.0, 5.0, -5.0], "close": [3.2 + k * 1e-9 for k in range(1000)], "inf": [float("inf"), 1.0, 2.0, float("-inf")],
+    }
+    df = spark.createDataFrame([(k, v) for k, vs in groups.items() for v in vs] + [("same", None)], "key string, v double")
+    got = {r["key"]: r["m"] for r in chunked.exact_median(df, ["key"], "v", "m").collect()}
+    assert got == {k: pytest.approx(statistics.median(v), abs=0) for k, v in groups.items()}

@@ -90,6 +90,28 @@ def test_incremental_runs(spark, tmp_path, few_tests):
     assert run_incremental(spark, lake, out, state, since="2024-01-06").advanced_to == "2024-01-07"
 
 
+def test_columns_and_cells_of_any_file_count(spark, tmp_path):
+    """A file without C-rate labels does not hide those of others, nor does an escaped cell id hide its cell."""
+    lake, out, state = (str(tmp_path / n) for n in ("lake", "out", "state"))
+    _land(spark, lake, _rpt("A"), "2024-01-05")
+    for path in (tmp_path / "lake").rglob("part-*.parquet"):
+        bare = spark.read.parquet(str(path)).drop("crate").collect()
+        schema = spark.read.parquet(str(path)).drop("crate").schema
+        spark.createDataFrame(bare, schema).coalesce(1).write.mode("overwrite").parquet(str(path.parent).replace("Cell=A", "Cell=0"))
+    _land(spark, lake, _rpt("B"), "2024-01-05")
+    spark.read.parquet(f"{lake}/Test=RPT/Make=eve/Batch=1/Cell=B/YYYY=2024/MM=01/DD=05").withColumns(
+        {"Test": F.lit("RPT"), "Make": F.lit("eve"), "Batch": F.lit("1"), "Cell": F.lit("C:3+%"), "YYYY": F.lit("2024"), "MM": F.lit("01"), "DD": F.lit("05")}
+    ).write.mode("append").partitionBy(*ingest.LAKE_PARTITIONS).parquet(lake)
+    raw_rows = ingest.conform(ingest.read_lake(spark, lake))
+    rates = {r["cell_no"]: r["rpt_protocol_c_rate"] for r in wide.cycles.rpt_c_rate(raw_rows).collect()}
+    assert rates == {"000A": 0.5, "000B": 0.5, "C:3+%": 0.5} and raw_rows.where("cell_no = '0000'").count() > 0
+    files = ingest.inventory(spark, lake)
+    assert sorted(r["Cell"] for r in files.select("Cell").distinct().collect()) == ["0", "A", "B", "C:3+%"]
+    from cellspark.plans.select import changed_groups, rows_of
+
+    assert rows_of(ingest.read_lake(spark, lake), changed_groups(files, "2024-01-01")).select("Cell").distinct().count() == 4
+
+
 def test_stream_sees_late_files(spark, tmp_path, few_tests):
     lake, out, mark = (str(tmp_path / n) for n in ("lake", "out", "mark"))
     _land(spark, lake, _rpt(), "2024-01-05")

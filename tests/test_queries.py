@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
-from cellspark.plans.catalog import QUERIES
+from queries.catalog import QUERIES
 from oracle import ORACLES
 from tests.compare import compare
 
