@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from cellspark.functions.lineage import cut
 from cellspark.plans.select import changed_groups, only_cells, rows_of, with_dependencies
 from cellspark.plans.upsert import merge_results
-from cellspark.plans.wide import build_wide, with_dsoc_per_day
-from cellspark.sources.ingest import conform, inventory, read_lake
+from cellspark.plans.wide import build_wide, capacity_conflicts, with_dsoc_per_day
+from cellspark.sources.ingest import conform, inventory, padded, read_lake
 from cellspark.sources.tables import (
     load_state,
     read_results,
@@ -24,11 +24,27 @@ from cellspark.sources.tables import (
 
 
 class Run(NamedTuple):
-    """What a run did: its rows (None if nothing was selected), the date it advanced to, new partitions."""
+    """What a run did.
+
+    Its rows (None if nothing was selected), the date it advanced to, the partitions it registered, the number
+    of cells whose tests disagree on the capacity, and of padded cell ids that stand for more than one id.
+    """
 
     rows: DataFrame | None
     advanced_to: str | None = None
     registered: int = 0
+    conflicting: int = 0
+    merged_ids: int = 0
+
+
+def merged_ids(groups: DataFrame) -> int:
+    """Cells whose padded id covers several ids of the lake, such as ``1`` and ``0001``."""
+    return (
+        groups.groupBy(F.upper("Make"), "Batch", padded(F.col("Cell")))
+        .agg(F.count_distinct("Cell").alias("n"))
+        .where("n > 1")
+        .count()
+    )
 
 
 def compute_rows(lake: DataFrame, groups: DataFrame) -> DataFrame:
@@ -76,10 +92,11 @@ def run_incremental(
     if dry_run:
         return Run(merge_results(rows, read_results(spark, output), widen_session))
 
+    counts = {"conflicting": capacity_conflicts(rows.withColumnRenamed("cell", "cell_no")).count(), "merged_ids": merged_ids(groups)}
     merged = upsert(spark, rows, output, widen_session)
-    registered = register_partitions(spark, table, output) if table else 0
+    registered = register_partitions(spark, table, output, merged) if table else 0
     if makes or cells:
-        return Run(merged, None, registered)
+        return Run(merged, None, registered, **counts)
     newest = files.agg(F.max("date")).first()[0]
     save_state(spark, state, newest, stored.get("table") or table or output)
-    return Run(merged, newest, registered)
+    return Run(merged, newest, registered, **counts)

@@ -6,57 +6,163 @@ from pyspark.sql import types as T
 
 CELL_KEYS = ["make", "batch", "cell_no", "max_cap"]
 
-_TYPES = {
-    "s": T.StringType(),
-    "i": T.IntegerType(),
-    "d": T.DoubleType(),
-    "t": T.TimestampType(),
-    "a": T.ArrayType(T.DoubleType()),
-}
+STRING, INT, DOUBLE, TIME = T.StringType(), T.IntegerType(), T.DoubleType(), T.TimestampType()
+CURVE = T.ArrayType(DOUBLE)
 
 
-def _struct(spec: str) -> T.StructType:
-    fields = (item.split(":") for item in spec.split())
-    return T.StructType([T.StructField(name, _TYPES[code], True) for name, code in fields])
+def _columns(**types: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in types.items()])
 
 
-_KEY_SPEC = "make:s batch:s cell_no:s max_cap:d "
+def _per_cell(**types: T.DataType) -> T.StructType:
+    return _columns(make=STRING, batch=STRING, cell_no=STRING, max_cap=DOUBLE, **types)
 
-RAW = _struct(
-    "cell_no:s cycle_no:i cycler_step_no:i step_name:s absolute_time:t volt_v:d current_a:d "
-    "capacity_ah:d crate:s drate:s dod:s max_cap:d test:s make:s batch:s"
+
+# The columns of the raw telemetry, of each protocol's results and of the wide row, in published order.
+RAW = _columns(
+    cell_no=STRING,
+    cycle_no=INT,
+    cycler_step_no=INT,
+    step_name=STRING,
+    absolute_time=TIME,
+    volt_v=DOUBLE,
+    current_a=DOUBLE,
+    capacity_ah=DOUBLE,
+    crate=STRING,
+    drate=STRING,
+    dod=STRING,
+    max_cap=DOUBLE,
+    test=STRING,
+    make=STRING,
+    batch=STRING,
 )
-PULSE = _struct(
-    _KEY_SPEC + "cycle_no:i pulse_idx:i step_no:i duration_s:d I_step:d soc_start:d V_pre:d V_post:d "
-    "V_fast:d V_end:d tau1_s:d tau2_s:d R0_mOhm:d R1_mOhm:d R2_mOhm:d C1_F:d C2_F:d R_30s_mOhm:d"
+PULSE = _per_cell(
+    cycle_no=INT,
+    pulse_idx=INT,
+    step_no=INT,
+    duration_s=DOUBLE,
+    I_step=DOUBLE,
+    soc_start=DOUBLE,
+    V_pre=DOUBLE,
+    V_post=DOUBLE,
+    V_fast=DOUBLE,
+    V_end=DOUBLE,
+    tau1_s=DOUBLE,
+    tau2_s=DOUBLE,
+    R0_mOhm=DOUBLE,
+    R1_mOhm=DOUBLE,
+    R2_mOhm=DOUBLE,
+    C1_F=DOUBLE,
+    C2_F=DOUBLE,
+    R_30s_mOhm=DOUBLE,
 )
-CYCLE = _struct(
-    _KEY_SPEC + "cycle_no:i chg_cap_ah:d avg_chg_v:d chg_v_max:d dchg_cap_ah:d avg_dchg_v:d dchg_v_min:d "
-    "coulombic_eff:d"
+CYCLE = _per_cell(
+    cycle_no=INT,
+    chg_cap_ah=DOUBLE,
+    avg_chg_v=DOUBLE,
+    chg_v_max=DOUBLE,
+    dchg_cap_ah=DOUBLE,
+    avg_dchg_v=DOUBLE,
+    dchg_v_min=DOUBLE,
+    coulombic_eff=DOUBLE,
 )
-OCV = _struct(_KEY_SPEC + "direction:s soc:d v_oc:d")
-DCIR = _struct(_KEY_SPEC + "pulse_idx:i soc:d r0_mohm:d i_at_pulse:d")
-GITT = _struct(_KEY_SPEC + "pulse_idx:i soc:d r_pulse_mohm:d tau_diff_s:d v_inf_v:d")
-RATE = _struct(_KEY_SPEC + "direction:s c_rate:d q_ah:d energy_wh:d")
-SELF_DISCHARGE = _struct(
-    _KEY_SPEC + "rest_duration_s:d v_start:d v_end:d dv_dt_mV_per_h:d q_recovered_ah:d retention_pct:d "
-    "dsoc_per_day:d ambient_c:d"
+OCV = _per_cell(
+    direction=STRING,
+    soc=DOUBLE,
+    v_oc=DOUBLE,
 )
-PEAK_POWER = _struct(_KEY_SPEC + "direction:s soc:d p_peak_w:d v_at_peak:d i_at_peak:d duration_s:d")
-CONSTANT_POWER = _struct(_KEY_SPEC + "direction:s power_w:d energy_wh:d duration_s:d q_ah:d")
-
-# The wide result row, one per cell, in published column order.
-RESULT = _struct(
-    "cohort:s test_session_start:t test_session_end:t chemistry:s qc_flag:s processor_version:s Soh:d "
-    "q_rpt_ah:d q_rpt_chg_ah:d rpt_protocol_c_rate:d rate_cap_c_rates:a rate_cap_q_curve:a "
-    "rate_cap_c_rates_chg:a rate_cap_q_chg_curve:a const_power_levels_w:a const_power_t_dis_curve:a "
-    "const_power_energy_curve:a self_disch_rest_duration_h:d self_disch_v_start_v:d self_disch_v_end_v:d "
-    "self_disch_dsoc_per_day:d self_disch_ambient_c:d ocv_soc_grid:a v_oc_curve:a ocv_soc_grid_chg:a "
-    "v_oc_chg_curve:a ocv_details_path:s dcir_n_pulses:d dcir_soc_nominal:a dcir_soc_at_pulse:a "
-    "dcir_i_at_pulse:a r_dc_curve:a peak_power_soc_grid:a p_peak_10s_dchg_curve:a p_peak_10s_chg_curve:a "
-    "hppc_n_pulses_dchg:d hppc_soc_at_pulse_dchg:a hppc_i_at_pulse_dchg:a r0_dchg_curve:a r1_dchg_curve:a "
-    "c1_dchg_curve:a r2_dchg_curve:a c2_dchg_curve:a gitt_soc_grid:a r_pulse_curve:a tau_diff_curve:a "
-    "v_inf_curve:a"
+DCIR = _per_cell(
+    pulse_idx=INT,
+    soc=DOUBLE,
+    r0_mohm=DOUBLE,
+    i_at_pulse=DOUBLE,
+)
+GITT = _per_cell(
+    pulse_idx=INT,
+    soc=DOUBLE,
+    r_pulse_mohm=DOUBLE,
+    tau_diff_s=DOUBLE,
+    v_inf_v=DOUBLE,
+)
+RATE = _per_cell(
+    direction=STRING,
+    c_rate=DOUBLE,
+    q_ah=DOUBLE,
+    energy_wh=DOUBLE,
+)
+SELF_DISCHARGE = _per_cell(
+    rest_duration_s=DOUBLE,
+    v_start=DOUBLE,
+    v_end=DOUBLE,
+    dv_dt_mV_per_h=DOUBLE,
+    q_recovered_ah=DOUBLE,
+    retention_pct=DOUBLE,
+    dsoc_per_day=DOUBLE,
+    ambient_c=DOUBLE,
+)
+PEAK_POWER = _per_cell(
+    direction=STRING,
+    soc=DOUBLE,
+    p_peak_w=DOUBLE,
+    v_at_peak=DOUBLE,
+    i_at_peak=DOUBLE,
+    duration_s=DOUBLE,
+)
+CONSTANT_POWER = _per_cell(
+    direction=STRING,
+    power_w=DOUBLE,
+    energy_wh=DOUBLE,
+    duration_s=DOUBLE,
+    q_ah=DOUBLE,
+)
+RESULT = _columns(
+    cohort=STRING,
+    test_session_start=TIME,
+    test_session_end=TIME,
+    chemistry=STRING,
+    qc_flag=STRING,
+    processor_version=STRING,
+    Soh=DOUBLE,
+    q_rpt_ah=DOUBLE,
+    q_rpt_chg_ah=DOUBLE,
+    rpt_protocol_c_rate=DOUBLE,
+    rate_cap_c_rates=CURVE,
+    rate_cap_q_curve=CURVE,
+    rate_cap_c_rates_chg=CURVE,
+    rate_cap_q_chg_curve=CURVE,
+    const_power_levels_w=CURVE,
+    const_power_t_dis_curve=CURVE,
+    const_power_energy_curve=CURVE,
+    self_disch_rest_duration_h=DOUBLE,
+    self_disch_v_start_v=DOUBLE,
+    self_disch_v_end_v=DOUBLE,
+    self_disch_dsoc_per_day=DOUBLE,
+    self_disch_ambient_c=DOUBLE,
+    ocv_soc_grid=CURVE,
+    v_oc_curve=CURVE,
+    ocv_soc_grid_chg=CURVE,
+    v_oc_chg_curve=CURVE,
+    ocv_details_path=STRING,
+    dcir_n_pulses=DOUBLE,
+    dcir_soc_nominal=CURVE,
+    dcir_soc_at_pulse=CURVE,
+    dcir_i_at_pulse=CURVE,
+    r_dc_curve=CURVE,
+    peak_power_soc_grid=CURVE,
+    p_peak_10s_dchg_curve=CURVE,
+    p_peak_10s_chg_curve=CURVE,
+    hppc_n_pulses_dchg=DOUBLE,
+    hppc_soc_at_pulse_dchg=CURVE,
+    hppc_i_at_pulse_dchg=CURVE,
+    r0_dchg_curve=CURVE,
+    r1_dchg_curve=CURVE,
+    c1_dchg_curve=CURVE,
+    r2_dchg_curve=CURVE,
+    c2_dchg_curve=CURVE,
+    gitt_soc_grid=CURVE,
+    r_pulse_curve=CURVE,
+    tau_diff_curve=CURVE,
+    v_inf_curve=CURVE,
 )
 DATA_COLS = RESULT.names
 

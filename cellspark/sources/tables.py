@@ -15,6 +15,7 @@ RESULT_TABLE_SCHEMA = T.StructType(
 )
 STATE_SCHEMA = "last_run_date string, table string, saved_at timestamp"
 EPOCH = "1970-01-01"
+PARTITIONS_AT_ONCE = 200
 
 
 def write_test_table(df: DataFrame, path: str, compression: str = COMPRESSION) -> None:
@@ -129,13 +130,27 @@ def ensure_table(spark: SparkSession, name: str, path: str) -> list[str]:
     return missing
 
 
-def register_partitions(spark: SparkSession, name: str, path: str) -> int:
-    """Make the catalog table see new partition folders; returns how many were new."""
-    ensure_table(spark, name, path)
-
-    def count() -> int:
-        return spark.sql(f"SHOW PARTITIONS {name}").count()
+def register_partitions(spark: SparkSession, name: str, path: str, written: DataFrame) -> int:
+    """Add the partitions of ``written`` to the catalog table, those it has already excepted; returns their number.
 
-    before = count()
-    spark.sql(f"MSCK REPAIR TABLE {name}")
-    return count() - before
+    Only what was written is looked at, a few hundred partitions at a time; no folder is listed.
+    """
+    ensure_table(spark, name, path)
+    total, batch = 0, []
+
+    def literal(value: str | None) -> str:
+        return "null" if value is None else "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    def add() -> None:
+        specs = " ".join(f"PARTITION ({', '.join(f'`{c}` = {literal(row[c])}' for c in RESULT_PARTITIONS)})" for row in batch)
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {specs}")
+
+    for row in written.select(*RESULT_PARTITIONS).distinct().toLocalIterator():
+        batch.append(row)
+        total += 1
+        if len(batch) == PARTITIONS_AT_ONCE:
+            add()
+            batch = []
+    if batch:
+        add()
+    return total
