@@ -33,9 +33,13 @@ def merge_rows(
     return joined.select(*[merged(c, t) for c, t in types.items()], *keys)
 
 
+def existing_rows(old: DataFrame, new: DataFrame) -> DataFrame:
+    """The stored result rows whose partition ``new`` writes again; the join prunes the other folders."""
+    return old.join(new.select(*RESULT_PARTITIONS), RESULT_PARTITIONS, "left_semi")
+
+
 def merge_results(new: DataFrame, old: DataFrame, widen_session: bool = True) -> DataFrame:
     """Upsert of result rows (see ``tables.result_rows``). ``widen_session=False`` overwrites the session times."""
     types = {f.name: f.dataType.simpleString() for f in RESULT.fields}
-    old = old.join(new.select(*RESULT_PARTITIONS), RESULT_PARTITIONS, "left_semi")
     bounds = {"earliest": ("test_session_start",), "latest": ("test_session_end",)} if widen_session else {}
-    return merge_rows(new, old, RESULT_PARTITIONS, types, **bounds)
+    return merge_rows(new, existing_rows(old, new), RESULT_PARTITIONS, types, **bounds)

@@ -95,6 +95,12 @@ def save_state(spark: SparkSession, path: str, last_run_date: str, table: str) -
     ).write.mode("append").json(path)
 
 
+def latest_states(states: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """The state saved last (of each of ``keys``); of states saved at once, the one with the greatest date and table."""
+    last = F.max(F.struct("saved_at", "last_run_date", "table")).alias("s")
+    return states.groupBy(*(keys or [])).agg(last).select(*(keys or []), "s.last_run_date", "s.table")
+
+
 def load_state(spark: SparkSession, path: str) -> dict:
     """The latest state, or an empty one."""
     try:
@@ -103,8 +109,8 @@ def load_state(spark: SparkSession, path: str) -> dict:
         if "PATH_NOT_FOUND" not in str(error):
             raise
         return {}
-    latest = states.agg(F.max_by(F.struct("last_run_date", "table"), "saved_at").alias("s")).first()["s"]
-    return latest.asDict() if latest else {}
+    latest = latest_states(states).first()
+    return {} if latest["last_run_date"] is None else latest.asDict()
 
 
 def watermark(state: dict, since: str | None = None, full: bool = False) -> str:

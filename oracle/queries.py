@@ -606,3 +606,26 @@ for _name, _tests in {
     "gitt_pulses": ("GITT",), "steps_by_number": ("HPPC",),
 }.items():
     _of_lines(_name, *_tests)
+
+
+def _results(name: str, where: str) -> str:
+    same = " and ".join(f"ses.{k} = cap.{k}" for k in K.split(", "))
+    return f"""{name} as (
+  with {lineitem("RPT").strip().replace("raw as", "src as", 1)}, raw as (select * from src where {where}), {CYCLES},
+  cap as (select {K}, max(dchg_cap_ah) as q, max(chg_cap_ah) as q_chg from cycles where max_cap is not null group by {K}),
+  ses as (select {K}, min(absolute_time) as t0, max(absolute_time) as t1 from raw group by {K})
+  select ses.make, ses.batch, ses.cell_no as cell, case when ses.max_cap is null then 'unknown' else '5.0' end as cap, q, q_chg, t0, t1
+  from ses left join cap on {same})"""
+
+
+_BOTH = with_(_results("n", "cycle_no >= 3 and batch = '0'"), _results("o", "cycle_no < 3"))
+_SAME = "n.make = o.make and n.batch = o.batch and n.cell = o.cell and n.cap = o.cap"
+ORACLES["result_upsert_lineitem"] = _BOTH + f"""
+select n.make, n.cap as max_cap, n.cell, n.batch, round(coalesce(n.q / 5.0 * 100.0, o.q / 5.0 * 100.0), 6) as "Soh", round(coalesce(n.q, o.q), 6) as q_rpt_ah,
+  round(coalesce(n.q_chg, o.q_chg), 6) as q_rpt_chg_ah, least(n.t0, o.t0) as test_session_start, greatest(n.t1, o.t1) as test_session_end
+from n left join o on {_SAME}"""
+ORACLES["existing_results_lineitem"] = _BOTH + f"""
+select o.make, o.cap as max_cap, o.cell, o.batch, round(o.q, 6) as q_rpt_ah, o.t1 as test_session_end from o join n on {_SAME}"""
+ORACLES["latest_states_events"] = """
+select user_id, strftime(ts, '%Y-%m-%d') as last_run_date, event_type as "table" from events
+qualify row_number() over (partition by user_id order by ts desc, event_type desc) = 1"""

@@ -27,7 +27,7 @@ from cellspark.operators.soc import soc_at_step_start
 from cellspark.plans import select, upsert, wide
 from queries.protocols import run_fleet
 from cellspark.schemas import CELL_KEYS
-from cellspark.sources import ingest
+from cellspark.sources import ingest, tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -411,3 +411,34 @@ def gitt_pulses_lineitem(spark, sf_dir):
 def steps_by_number_lineitem(spark, sf_dir):
     rows = segment.number_rows(segment.select_test(lineitem(spark, sf_dir, "HPPC"), "HPPC"))
     return naive(rounded(segment.restore_keys(segment.numbered_steps(rows)).withColumnRenamed("_step_no", "step_no")))
+
+
+def capacity_results(raw: DataFrame) -> DataFrame:
+    """Result rows with sessions, capacities and health only."""
+    return tables.result_rows(wide.assemble(wide.sessions(raw), [cycles.rpt_capacity(raw)]))
+
+
+@query
+def result_upsert_lineitem(spark, sf_dir):
+    """Later cycles of every other cell merged into the result rows of the earlier cycles."""
+    raw = lineitem(spark, sf_dir, "RPT")
+    new, old = capacity_results(raw.where("cycle_no >= 3 and batch = '0'")), capacity_results(raw.where("cycle_no < 3"))
+    merged = upsert.merge_results(new, old)
+    return naive(rounded(merged.select("make", "max_cap", "cell", "batch", "Soh", "q_rpt_ah", "q_rpt_chg_ah", "test_session_start", "test_session_end")))
+
+
+@query
+def existing_results_lineitem(spark, sf_dir):
+    """The stored rows that the later cycles of every other cell would replace."""
+    raw = lineitem(spark, sf_dir, "RPT")
+    new, old = capacity_results(raw.where("cycle_no >= 3 and batch = '0'")), capacity_results(raw.where("cycle_no < 3"))
+    return naive(rounded(upsert.existing_rows(old, new).select("make", "max_cap", "cell", "batch", "q_rpt_ah", "test_session_end")))
+
+
+@query
+def latest_states_events(spark, sf_dir):
+    """Every event as a saved state of its user: the state that counts."""
+    states = spark.read.parquet(f"{sf_dir}/events.parquet").select(
+        "user_id", F.date_format("ts", "yyyy-MM-dd").alias("last_run_date"), F.col("event_type").alias("table"), F.col("ts").alias("saved_at")
+    )
+    return tables.latest_states(states, ["user_id"])
