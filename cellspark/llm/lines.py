@@ -134,7 +134,7 @@ def later_lines(sequences: DataFrame, min_words: int) -> DataFrame:
 
 def repeated_runs(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """(key, content, runs) of the documents with deleted lines; runs are sorted spans [from, to] of lines."""
-    found = store(segments(hashed_lines(docs, key, text, min_words), min_words))
+    found = store(segments(store(hashed_lines(docs, key, text, min_words)), min_words))
     place = ["key", "content", "seg"]
     first = found.groupBy(*SEQ).agg(F.min(F.struct(*place)).alias("first"))
     sequences = store(
