@@ -140,13 +140,13 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vec: str = "embeddi
                 )
 
     signed = store(nodes.select("node", "n", "vec").mapInArrow(hashed, "node bigint, n bigint, length int, vec binary, sig binary, buckets array<int>"))
-    # as many rows as there are buckets and lengths
+    # tables * 2 ** bits rows at most for each length of vectors
     sizes = signed.select("length", F.posexplode("buckets").alias("table", "bucket")).groupBy("length", "table", "bucket").agg(F.count("*").alias("size"))
     tiled = sizes.where("size > 1").select("length", "table", "bucket", F.ceil(F.col("size") / tile_rows).cast("int").alias("tiles"))
     tile = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
     placed = (
         signed.select("node", "n", "length", "vec", "sig", F.posexplode("buckets").alias("table", "bucket"))
-        .join(tiled, ["length", "table", "bucket"])
+        .join(F.broadcast(tiled), ["length", "table", "bucket"])
         .withColumn("tile", tile)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
         .select(
