@@ -126,9 +126,10 @@ def trigram_query(pattern: str) -> list[Clause]:
 
 def build_index(texts: DataFrame, trigrams: list[str]) -> DataFrame:
     """Postings (trigram, content) of texts (content, text) for the given trigrams, letters in either case."""
-    low = F.lower("text")
-    held = F.array_compact(F.array(*[F.when(F.contains(low, F.lit(t)), F.lit(t)) for t in trigrams]))
-    return texts.select("content", F.explode(held).alias("trigram")).distinct()
+    asked = F.array(*map(F.lit, trigrams))
+    # as a lambda's argument the lower-cased text is worked out once, not for every trigram
+    held = F.transform(F.array(F.lower("text")), lambda low: F.filter(asked, lambda t: F.contains(low, t)))
+    return texts.select("content", F.explode(F.flatten(held)).alias("trigram")).distinct()
 
 
 def candidates(postings: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
