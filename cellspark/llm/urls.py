@@ -26,7 +26,9 @@ RULES = (
     ("block", "com", "/de/"),
 )
 DAMPING = 0.85
+#: Steps of the oracle's SQL, a fixed number. ``propagate`` goes on until what is left is below ``PRECISION``.
 ROUNDS = 12
+PRECISION, MOST_ROUNDS, STORE_EVERY = 1e-10, 1000, 4
 THRESHOLD = 0.01
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -67,11 +69,13 @@ def host_edges(pages: DataFrame, html: str, parents: bool) -> DataFrame:
     return edges
 
 
-def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
+def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, most: int = MOST_ROUNDS) -> DataFrame:
     """(host, trust, distrust) of hosts with any score, from seeds (host, trust, distrust) and edges (src, dst, n).
 
     Trust is shared among a host's outgoing edges, distrust among its incoming ones, by their weights; what
-    reaches a host without a way on ends there.
+    reaches a host without a way on ends there. What a round adds in all (``fresh``) is at most ``damping`` times
+    what the round before added, so all later rounds together add at most fresh * damping / (1 - damping) to all
+    scores; rounds end when that is below ``PRECISION``. ``most`` rounds without that raise an error.
     """
     out = edges.groupBy("src").agg(F.sum("n").alias("all"))
     back = edges.groupBy("dst").agg(F.sum("n").alias("all"))
@@ -83,19 +87,23 @@ def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, roun
         seeds.select("host", F.inline(F.array(F.struct(F.lit(0).alias("kind"), F.col("trust").alias("score")), F.struct(F.lit(1).alias("kind"), F.col("distrust").alias("score"))))).where("score > 0")
     )
     own = start.select("kind", "host", (F.col("score") * (1 - damping)).alias("score"))
-    now = own
-    if not ways.isEmpty():
-        for done in range(1, rounds + 1):
-            moved = now.join(ways, ["kind", "host"]).groupBy("kind", "to").agg(F.sum(F.col("score") * F.col("share") * damping).alias("score"))
-            now = own.union(moved.select("kind", F.col("to").alias("host"), "score")).groupBy("kind", "host").agg(F.sum("score").alias("score"))
-            if done % 4 == 0:
-                now = store(now)
+    now, done, left = own.withColumn("fresh", F.col("score")), 0, not ways.isEmpty()
+    while left:
+        if done >= most:
+            raise RuntimeError(f"host scores still change by up to {left} after {done} rounds")
+        for _ in range(STORE_EVERY):
+            part = F.col("share") * damping
+            moved = now.join(ways, ["kind", "host"]).groupBy("kind", "to").agg(F.sum(F.col("score") * part).alias("score"), F.sum(F.col("fresh") * part).alias("fresh"))
+            now = own.withColumn("fresh", F.lit(0.0)).union(moved.select("kind", F.col("to").alias("host"), "score", "fresh")).groupBy("kind", "host").agg(F.sum("score").alias("score"), F.sum("fresh").alias("fresh"))
+        now, done = store(now), done + STORE_EVERY
+        fresh = now.agg(F.sum("fresh")).first()[0] or 0.0
+        left = fresh * damping / (1 - damping) if fresh * damping > PRECISION * (1 - damping) else 0
     return now.groupBy("host").agg(F.sum(F.when(F.col("kind") == 0, F.col("score")).otherwise(0.0)).alias("trust"), F.sum(F.when(F.col("kind") == 1, F.col("score")).otherwise(0.0)).alias("distrust"))
 
 
 def judge(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", rules: Iterable[tuple[str, str, str]] = RULES,
           trusted: Iterable[str] = (), blocked: Iterable[str] = (), parents: bool = True, threshold: float = THRESHOLD,
-          damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
+          damping: float = DAMPING, most: int = MOST_ROUNDS) -> DataFrame:
     """(key, host, path, rule, verdict, trust, distrust) of every row of ``pages``.
 
     A rule decides where one fits; else the host's scores do. Urls that are null or lack ``://`` have an empty
@@ -110,7 +118,7 @@ def judge(pages: DataFrame, key: str = "page_id", url: str = "url", html: str =
     seeds = at.where("host != ''").groupBy("host").agg(share["allow"].alias("trust"), share["block"].alias("distrust"))
     for name, hosts in (("trust", [*trusted]), ("distrust", [*blocked])):
         seeds = seeds.withColumn(name, F.when(F.col("host").isin(hosts), 1.0).otherwise(F.col(name)) if hosts else F.col(name))
-    scores = propagate(seeds, host_edges(at, "html", parents), damping, rounds)
+    scores = propagate(seeds, host_edges(at, "html", parents), damping, most)
     trust, distrust = F.round(F.coalesce("trust", F.lit(0.0)), 9), F.round(F.coalesce("distrust", F.lit(0.0)), 9)
     return (
         at.drop("html")

@@ -72,6 +72,22 @@ def test_trust_follows_links_and_distrust_goes_against_them(spark):
     assert kin[8]["verdict"] == "block"
 
 
+def test_scores_go_on_until_nothing_is_left(spark):
+    """Sixteen links before a blocked host, and a cycle, whose sums are known; too few rounds raise."""
+    def page(i, host, to):
+        return (i, f"http://{host}/", f'<a href="http://{to}/">t</a>')
+
+    d = urls.DAMPING
+    rows = [page(i, f"h{i}.net", f"h{i - 1}.net") for i in range(1, 19)] + [page(30, "a.net", "b.net"), page(31, "b.net", "a.net")]
+    got = {r["page_id"]: r for r in urls.judge(pages(spark, rows), rules=(), blocked=["h1.net", "a.net"], parents=False).collect()}
+    for i in range(1, 19):
+        assert got[i]["distrust"] == pytest.approx((1 - d) * d ** (i - 1), abs=2e-9)
+        assert got[i]["verdict"] == ("block" if i <= 17 else "allow")
+    assert got[30]["distrust"] == pytest.approx((1 - d) / (1 - d * d), abs=2e-9) and got[31]["distrust"] == pytest.approx((1 - d) * d / (1 - d * d), abs=2e-9)
+    with pytest.raises(RuntimeError):
+        urls.judge(pages(spark, rows), rules=(), blocked=["h1.net", "a.net"], parents=False, most=12)
+
+
 # --- chat --------------------------------------------------------------------------------------------------------
 
 
