@@ -1,7 +1,8 @@
 """URL filters: rules on hosts and paths, and link-graph propagation for urls that no rule fits.
 
 Hosts are the nodes of the graph. Edges are the links of the pages that lead to another host, and, as hosts
-of one owner, each host and its parent domain where both occur. Seeds come from the rules: a host is
+of one owner, each host and its parent domain where both occur, or, with ``domains``, each host and its parents up to
+the registered domain, whether or not those have pages, so that their other hosts are reached too. Seeds come from the rules: a host is
 trusted, or blocked, by the share of its pages that a rule allows, or blocks; hosts may also be named.
 Trust spreads along edges as a personalised PageRank, distrust against them; as seeds are not normalised,
 scores do not depend on the number of hosts. A host is blocked if its distrust reaches the threshold and
@@ -55,15 +56,24 @@ def ruled(host: Column, path: Column, rules: Iterable[tuple[str, str, str]]) ->
     return F.coalesce(*fits, F.lit(None).cast("struct<verdict:string,rule:string>"))
 
 
-def host_edges(pages: DataFrame, html: str, parents: bool) -> DataFrame:
+def domain_edges(hosts: DataFrame, suffixes: Iterable[str] = ()) -> DataFrame:
+    """(host, parent) of hosts and their parents up to two labels, each once; addresses and ``suffixes`` (co.uk, say) have none above them."""
+    labels = F.split("host", r"\.")
+    names = F.transform(F.sequence(F.lit(1), F.size(labels) - 1), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    chains = hosts.where((F.size(labels) > 2) & ~F.col("host").rlike(r"^[0-9.]+(:[0-9]*)?$")).select(F.filter(names, lambda n: ~n.isin([*suffixes]) if suffixes else F.lit(True)).alias("names"))
+    steps = F.arrays_zip(F.slice("names", 1, F.size("names") - 1).alias("host"), F.slice("names", 2, F.size("names") - 1).alias("parent"))
+    return chains.where(F.size("names") > 1).select(F.inline(steps)).distinct()
+
+
+def host_edges(pages: DataFrame, html: str, parents: bool, domains: bool = False, suffixes: Iterable[str] = ()) -> DataFrame:
     """(src, dst, n) between different hosts of ``pages`` (host, html)."""
     target = F.regexp_extract_all(F.coalesce(F.col(html), F.lit("")), F.lit(r"""(?i)<a\s[^>]*?href\s*=\s*["']?\s*((?:https?:)?//[^"'\s>]+)"""), F.lit(1))
     found = pages.select(F.col("host").alias("src"), F.explode(F.array_distinct(F.transform(target, lambda u: host_of(F.concat(F.lit("x:"), F.regexp_replace(u, "^(?i:https?:)", "")))))).alias("dst"))
     edges = found.where((F.col("src") != F.col("dst")) & (F.col("src") != "") & (F.col("dst") != "")).groupBy("src", "dst").agg(F.count("*").alias("n"))
-    if parents:
+    if parents or domains:
         hosts = pages.select("host").where("host != ''").distinct()
         above = hosts.select("host", F.regexp_extract("host", r"^[^.]+\.(.+)$", 1).alias("parent"))
-        pairs = above.join(hosts.select(F.col("host").alias("parent")), "parent")
+        pairs = domain_edges(hosts, tuple(suffixes)) if domains else above.join(hosts.select(F.col("host").alias("parent")), "parent")
         both = pairs.select(F.col("host").alias("src"), F.col("parent").alias("dst")).union(pairs.select("parent", "host"))
         edges = edges.union(both.withColumn("n", F.lit(1).cast("bigint"))).groupBy("src", "dst").agg(F.sum("n").alias("n"))
     return edges
@@ -103,7 +113,7 @@ def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, most
 
 def judge(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", rules: Iterable[tuple[str, str, str]] = RULES,
           trusted: Iterable[str] = (), blocked: Iterable[str] = (), parents: bool = True, threshold: float = THRESHOLD,
-          damping: float = DAMPING, most: int = MOST_ROUNDS) -> DataFrame:
+          damping: float = DAMPING, most: int = MOST_ROUNDS, domains: bool = False, suffixes: Iterable[str] = ()) -> DataFrame:
     """(key, host, path, rule, verdict, trust, distrust) of every row of ``pages``.
 
     A rule decides where one fits; else the host's scores do. Urls that are null or lack ``://`` have an empty
@@ -118,7 +128,7 @@ def judge(pages: DataFrame, key: str = "page_id", url: str = "url", html: str =
     seeds = at.where("host != ''").groupBy("host").agg(share["allow"].alias("trust"), share["block"].alias("distrust"))
     for name, hosts in (("trust", [*trusted]), ("distrust", [*blocked])):
         seeds = seeds.withColumn(name, F.when(F.col("host").isin(hosts), 1.0).otherwise(F.col(name)) if hosts else F.col(name))
-    scores = propagate(seeds, host_edges(at, "html", parents), damping, most)
+    scores = propagate(seeds, host_edges(at, "html", parents, domains, suffixes), damping, most)
     trust, distrust = F.round(F.coalesce("trust", F.lit(0.0)), 9), F.round(F.coalesce("distrust", F.lit(0.0)), 9)
     return (
         at.drop("html")

@@ -88,6 +88,12 @@ def test_scores_go_on_until_nothing_is_left(spark):
         urls.judge(pages(spark, rows), rules=(), blocked=["h1.net", "a.net"], parents=False, most=12)
 
 
+def test_hosts_of_a_domain_without_pages_share_scores(spark):
+    rows = [(1, "http://m.spam.net/", ""), (2, "http://a.b.spam.net/", ""), (3, "http://m.fine.net/", ""), (4, "http://x.co.uk/", ""), (5, "http://y.co.uk/", ""), (6, "http://10.0.0.1/", ""), (7, "http://9.0.0.1/", ""), (8, "http://local/", ""), (9, None, "")]
+    got = {r["page_id"]: r["verdict"] for r in urls.judge(pages(spark, rows), rules=(), blocked=["m.spam.net", "x.co.uk", "10.0.0.1"], domains=True, suffixes=["co.uk"]).collect()}
+    assert got == {1: "block", 2: "block", 3: "allow", 4: "block", 5: "allow", 6: "block", 7: "allow", 8: "allow", 9: "allow"}
+
+
 # --- chat --------------------------------------------------------------------------------------------------------
 
 
