@@ -626,6 +626,9 @@ select n.make, n.cap as max_cap, n.cell, n.batch, round(coalesce(n.q / 5.0 * 100
 from n left join o on {_SAME}"""
 ORACLES["existing_results_lineitem"] = _BOTH + f"""
 select o.make, o.cap as max_cap, o.cell, o.batch, round(o.q, 6) as q_rpt_ah, o.t1 as test_session_end from o join n on {_SAME}"""
+_ALL = with_(_results("n", "cycle_no >= 3"), _results("o", "cycle_no < 3"))
+ORACLES["result_upsert_all_lineitem"] = ORACLES["result_upsert_lineitem"].replace(_BOTH, _ALL)
+ORACLES["existing_results_all_lineitem"] = ORACLES["existing_results_lineitem"].replace(_BOTH, _ALL)
 ORACLES["latest_states_events"] = """
 select user_id, strftime(ts, '%Y-%m-%d') as last_run_date, event_type as "table" from events
 qualify row_number() over (partition by user_id order by ts desc, event_type desc) = 1"""

@@ -435,6 +435,26 @@ def existing_results_lineitem(spark, sf_dir):
     return naive(rounded(upsert.existing_rows(old, new).select("make", "max_cap", "cell", "batch", "q_rpt_ah", "test_session_end")))
 
 
+def halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Result rows of the later and of the earlier cycles of every cell."""
+    raw = lineitem(spark, sf_dir, "RPT")
+    return capacity_results(raw.where("cycle_no >= 3")), capacity_results(raw.where("cycle_no < 3"))
+
+
+@query
+def result_upsert_all_lineitem(spark, sf_dir):
+    """Later cycles of every cell merged into the result rows of the earlier cycles."""
+    merged = upsert.merge_results(*halves(spark, sf_dir))
+    return naive(rounded(merged.select("make", "max_cap", "cell", "batch", "Soh", "q_rpt_ah", "q_rpt_chg_ah", "test_session_start", "test_session_end")))
+
+
+@query
+def existing_results_all_lineitem(spark, sf_dir):
+    """The stored rows of every cell that has later cycles."""
+    new, old = halves(spark, sf_dir)
+    return naive(rounded(upsert.existing_rows(old, new).select("make", "max_cap", "cell", "batch", "q_rpt_ah", "test_session_end")))
+
+
 @query
 def latest_states_events(spark, sf_dir):
     """Every event as a saved state of its user: the state that counts."""

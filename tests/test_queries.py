@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
-from queries.catalog import QUERIES
+from queries.catalog import QUERIES, lineitem
 from oracle import ORACLES
 from tests.compare import compare
 
@@ -19,3 +19,9 @@ def test_query_matches_oracle(spark, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() == 10
+
+
+def test_every_cell_is_in_the_merged_and_the_existing_rows(spark):
+    cells = {r[0] for r in lineitem(spark, SF, "RPT").select("cell_no").distinct().collect()}
+    for name in ("result_upsert_all_lineitem", "existing_results_all_lineitem"):
+        assert {r["cell"] for r in QUERIES[name](spark, SF).collect()} == cells
