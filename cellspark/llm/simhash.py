@@ -189,9 +189,13 @@ def near_duplicates(
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
-    """The rows of ``docs`` whose key names their group: one document of each group of near duplicates.
+    """One row of ``docs`` of each group of near duplicates: that of the smallest key, a row without one only if none has any.
 
-    Rows that repeat that key stay together; rows without a key stay.
+    Rows are told apart by a stored number, so of rows that repeat a key one stays at most, and other texts of
+    that key stand for their own groups.
     """
-    kept = near_duplicates(docs, key, text, radius).where(F.col(key) == F.col("component_id")).select(key).distinct()
-    return docs.where(F.col(key).isNotNull()).join(kept, key, "left_semi").union(docs.where(F.col(key).isNull()))
+    order = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), F.monotonically_increasing_id().alias("number"))
+    rows = store(docs.select(F.struct(*docs.columns).alias("row"), order.alias("order")))
+    found = near_duplicates(rows.select("order", F.col("row")[text].alias("text")), "order", "text", radius)
+    kept = found.where(F.col("order.number") == F.col("component_id.number")).select("order.number")
+    return rows.withColumn("number", F.col("order.number")).join(kept, "number", "left_semi").select("row.*")

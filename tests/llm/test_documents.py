@@ -164,6 +164,16 @@ def test_simhash_matches_brute_force(spark):
     assert simhash.near_duplicates(documents(spark, rows).limit(0)).count() == 0
 
 
+def test_one_row_of_each_group_is_kept(spark):
+    """Rows without an id, rows repeated whole, and an id of two texts."""
+    a, b, c, d = (prose(700 + i, 200) for i in range(4))
+    rows = [(None, a), (None, a), (4, a), (None, b), (None, b), (5, c), (5, c), (1, d), (1, a), (2, d)]
+    got = simhash.keep_one(documents(spark, rows, clashing=True))
+    assert got.columns == documents(spark, rows, clashing=True).columns
+    assert sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=repr) == sorted([(1, a), (None, b), (5, c), (1, d)], key=repr)
+    assert simhash.keep_one(documents(spark, rows).limit(0)).count() == 0
+
+
 def test_tiles_find_every_close_pair():
     rng = np.random.default_rng(3)
     base = rng.integers(0, 1 << 63, 300, dtype=np.uint64)
