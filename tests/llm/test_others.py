@@ -179,6 +179,17 @@ def test_vectors_match_brute_force(spark):
     assert vectors.near_duplicates(frame.limit(0)).count() == 0
 
 
+def test_every_link_of_a_large_group_near_the_edge_is_found(spark):
+    rng = np.random.default_rng([0, 96])
+    base = vectors.unit(rng.standard_normal((1, 64)))[0]
+    noise = rng.standard_normal((1000, 64))
+    noise = vectors.unit(noise - np.outer(noise @ base, base))
+    group = np.sqrt(0.96) * base + np.sqrt(0.04) * noise
+    want = (vectors.unit(group) @ vectors.unit(group).T >= 0.95).sum(axis=1) - 1
+    got = vectors.near_duplicates(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(group)], "vec_id bigint, embedding array<double>"))
+    assert {r["vec_id"]: r["n_links"] for r in got.collect()} == dict(enumerate(want.tolist()))
+
+
 # --- WARC --------------------------------------------------------------------------------------------------------
 
 
