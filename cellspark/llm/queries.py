@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellspark.llm import chat, decontaminate, lines, oracles, packing, quality, secrets, simhash, urls, vectors, warc
+from cellspark.llm import chat, decontaminate, infill, lines, oracles, packing, quality, secrets, simhash, tokens, urls, vectors, warc, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -82,3 +83,18 @@ def op9_warc_round_trip(spark, sf_dir):
 @query(oracles.LINES)
 def op10_line_dedup(spark, sf_dir):
     return lines.dedup_lines(table(spark, sf_dir, "documents")).select("row.doc_id", "text", "n_lines", "n_removed")
+
+
+@query()
+def op11_token_counts(spark, sf_dir):
+    return tokens.report(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query()
+def op12_embedding_whitening(spark, sf_dir):
+    return whitening.report(table(spark, sf_dir, "embeddings"))
+
+
+@query(oracles.INFILL)
+def op13_fill_in_middle(spark, sf_dir):
+    return infill.report(table(spark, sf_dir, "documents"))
