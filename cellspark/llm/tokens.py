@@ -129,8 +129,9 @@ def _blocks(batches: Iterable[pa.RecordBatch], path: str, text: str, names: list
                     block, held, known = block + 1, 0, {}
                 pieces, added = cut.pieces(data.decode("utf-8", "replace"))
                 counts = Counter(pieces)
-                for p in counts.keys() - known.keys() if len(counts) < len(known) else counts:
-                    known.setdefault(p, len(known))
+                for p in counts:
+                    if p not in known:
+                        known[p] = len(known)
                 numbers = np.fromiter(map(known.__getitem__, counts), np.int64, len(counts))
                 entries.append(encode(numbers, np.fromiter(counts.values(), np.int64, len(counts))))
                 sizes.append(len(data))
