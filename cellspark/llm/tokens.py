@@ -3,8 +3,8 @@
 A tokenizer cuts a text into pre-tokens and each pre-token into tokens on its own. So a text's count is the sum, over its
 distinct pre-tokens, of how often it holds one times that one's tokens. Texts are cut in blocks: a block lists its
 distinct pre-tokens once, and each of its texts as numbers in that list with frequencies. The lists of all blocks
-together give the distinct pre-tokens, whose tokens are counted once each; the counts are joined to the lists, and each
-block's texts are summed. A pre-token, however common, has one row a block in that join, so no key holds many rows.
+together give the distinct pre-tokens, whose tokens are counted once each for all blocks that list them; the counts are
+joined to the block's texts and summed. A pre-token, however common, has one row a block, so no key holds many rows.
 
 A null text counts as empty: 0 bytes, 0 tokens. Equal rows get equal results, rows are neither merged nor dropped, and
 other columns pass by.
@@ -144,6 +144,16 @@ def _blocks(batches: Iterable[pa.RecordBatch], path: str, text: str, names: list
     yield from listed()
 
 
+def _packed_by_block(batch: pa.RecordBatch, counts: np.ndarray) -> pa.RecordBatch:
+    """(of, several): for each block its pre-tokens of this batch that have more than one token, or none."""
+    several = np.flatnonzero(counts != 1)
+    block, number, counts = batch.column("block").to_numpy()[several], batch.column("number").to_numpy()[several], counts[several]
+    order = np.argsort(block, kind="stable")
+    of, starts = np.unique(block[order], return_index=True)
+    packs = [encode(number[at], counts[at]) for at in np.split(order, starts[1:])] if len(of) else []
+    return pa.RecordBatch.from_arrays([pa.array(of, pa.int64()), pa.array(packs, pa.binary())], ["of", "several"])
+
+
 _NAMES = ["block", "row", "n_bytes", "alone", "entries", "first", "pieces"]
 
 
@@ -166,18 +176,21 @@ def count_tokens(docs: DataFrame, tokenizer: str, keep: list[str], text: str = "
     lists = blocks.where("first IS NOT NULL").select("block", "first", F.posexplode("pieces").alias("nth", "piece")).select("block", (F.col("first") + F.col("nth")).alias("number"), "piece")
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = cutter(tokenizer)
+        known, last = cutter(tokenizer), {}
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([known.count(p) for p in batch.column(0).to_pylist()], pa.int64())], ["piece", "n"])
+            pieces = batch.column("piece").dictionary_encode()
+            counts = {p: last.get(p) or known.count(p) for p in pieces.dictionary.to_pylist()}
+            yield _packed_by_block(batch, np.fromiter(counts.values(), np.int64, len(counts))[pieces.indices.to_numpy()])
+            last = dict([counts.popitem()]) if counts else {}
 
-    counted = lists.select("piece").distinct().mapInArrow(count, "piece string, n bigint")
-    # the sums start from one token a pre-token, so only longer ones go back
-    several = lists.join(counted.where("n <> 1"), "piece").select(F.col("block").alias("of"), "number", "n")
+    # equal pre-tokens of all blocks stand together, so that each is counted once for all of them
+    counted = lists.repartition("piece").sortWithinPartitions("piece").mapInArrow(count, "of bigint, several binary")
 
     def total(held: pa.Table, counts: pa.Table) -> pa.Table:
-        numbers = counts.column("number").to_numpy()
-        more = np.zeros(int(numbers.max(initial=-1)) + 1, np.int64)
-        more[numbers] = counts.column("n").to_numpy() - 1
+        found = [decode(x) for x in counts.column("several").to_pylist()]
+        more = np.zeros(max((int(at.max()) for at, _ in found), default=-1) + 1, np.int64)
+        for at, n in found:
+            more[at] = n - 1
         sums = []
         for data, added in zip(held.column("entries").to_pylist(), held.column("alone").to_pylist(), strict=True):
             at, times = decode(data)
@@ -186,7 +199,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, keep: list[str], text: str = "
         return pa.table({"row": held.column("row"), "n_bytes": held.column("n_bytes"), "n_tokens": pa.array(sums, pa.int64())})
 
     whole = blocks.where("first IS NULL").select("block", "row", "n_bytes", "alone", "entries")
-    return whole.groupBy("block").cogroup(several.groupBy("of")).applyInArrow(total, f"row {kind}, n_bytes bigint, n_tokens bigint")
+    return whole.groupBy("block").cogroup(counted.groupBy("of")).applyInArrow(total, f"row {kind}, n_bytes bigint, n_tokens bigint")
 
 
 def _again(first: pa.RecordBatch, rest: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
