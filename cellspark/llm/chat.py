@@ -1,7 +1,7 @@
 """Chat formatting with typed content parts.
 
-A turn holds parts of type text, image, audio or document. A visitor flattens them in order: texts are
-escaped, attachments become a placeholder of their type, their reference is recorded with its ordinal and the
+A turn holds parts of type text, image, audio or document. A visitor flattens them in order: neighbouring
+texts are put together and escaped, attachments become a placeholder of their type, their reference is recorded with its ordinal and the
 number of tokens it expands to. A formatted turn is
 
     <|im_start|>ROLE\\nCONTENT<|im_end|>\\n
@@ -44,11 +44,20 @@ def unescape_role(role: Column) -> Column:
     return F.array_join(F.transform(pieces, lambda x: F.replace(x, F.lit("\\n"), F.lit("\n"))), "\\")
 
 
+def part(type: str, **fields: Column) -> Column:
+    """A content part of a turn; fields that are not given are null."""
+    kinds = {"text": "string", "ref": "string", "width": "int", "height": "int", "seconds": "double", "pages": "int"}
+    return F.struct(F.lit(type).alias("type"), *[fields.get(n, F.lit(None)).cast(t).alias(n) for n, t in kinds.items()])
+
+
 def text_part(text: Column) -> Column:
     """A plain text as the parts of a turn."""
-    none = {"ref": "string", "width": "int", "height": "int", "seconds": "double", "pages": "int"}
-    part = F.struct(F.lit("text").alias("type"), text.alias("text"), *[F.lit(None).cast(t).alias(n) for n, t in none.items()])
-    return F.array(part)
+    return F.array(part("text", text=text))
+
+
+def text_parts(text: Column, cut: str = r"(?<=[<\\|])") -> Column:
+    """A plain text as several parts: cut at every place that matches, by default after the marks of control strings."""
+    return F.transform(F.split(text, cut, -1), lambda x: part("text", text=x))
 
 
 def _tokens(part: Column) -> Column:
@@ -59,11 +68,30 @@ def _tokens(part: Column) -> Column:
     return F.when(part["type"] == "image", patches).when(part["type"] == "audio", audio).otherwise(pages).cast("bigint")
 
 
-def _visit(part: Column) -> Column:
-    """What a part leaves in the content. An unknown or null type is text."""
-    return F.when(part["type"].isin(*ATTACHMENTS), F.concat(F.lit("<|"), part["type"], F.lit("|>"))).otherwise(
-        escape(F.coalesce(part["text"], F.lit("")))
-    )
+def _attached(part: Column) -> Column:
+    """Whether a part is an attachment. An unknown or null type is text."""
+    return F.coalesce(part["type"].isin(*ATTACHMENTS), F.lit(False))
+
+
+def _runs(parts: Column) -> Column:
+    """The parts as (text, type): the text of neighbouring text parts as one, and the attachment that ends it.
+
+    Texts have to be put together before they are escaped, or two parts could form a control string between them.
+    The last run ends without an attachment.
+    """
+    held = F.transform(F.array(parts), lambda p: F.struct(p.alias("parts"), F.filter(F.sequence(F.lit(0), F.size(p)), lambda i: (i == F.size(p)) | _attached(F.get(p, i))).alias("ends")))
+
+    def run(p: Column, i: Column, end: Column) -> Column:
+        start = F.when(i > 0, F.get(p["ends"], i - 1) + 1).otherwise(0)
+        text = F.array_join(F.transform(F.slice(p["parts"], start + 1, end - start), lambda x: F.coalesce(x["text"], F.lit(""))), "")
+        return F.struct(text.alias("text"), F.get(p["parts"], end)["type"].alias("type"))
+
+    return F.get(F.transform(held, lambda p: F.transform(p["ends"], lambda end, i: run(p, i, end))), F.lit(0))
+
+
+def _visit(run: Column) -> Column:
+    """What a run leaves in the content: its text escaped, then the placeholder of its attachment."""
+    return F.concat(escape(run["text"]), F.coalesce(F.concat(F.lit("<|"), run["type"], F.lit("|>")), F.lit("")))
 
 
 def text_tokens(text: Column, tokenizer: str | None) -> Column:
@@ -103,13 +131,11 @@ def format_turns(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", ro
     held = F.coalesce(F.col(parts).cast(PARTS), F.array().cast(PARTS))
     called = F.coalesce(F.col(role).cast("string"), F.lit(""))
     head = F.concat(F.lit("<|im_start|>"), escape_role(called), F.lit("\n"))
-    listed = F.filter(held, lambda p: p["type"].isin(*ATTACHMENTS))
+    listed = F.filter(held, _attached)
     attachments = F.transform(listed, lambda p, i: F.struct(i.alias("ordinal"), p["type"].alias("type"), p["ref"].alias("ref"), _tokens(p).alias("tokens")))
     flat = turns.select(
-        F.col(conv).alias("conv"), F.col(turn).alias("turn"), called.alias("role"), head.alias("head"),
-        F.array_join(F.transform(held, _visit), "").alias("content"), attachments.alias("attachments"),
-        F.array_join(F.transform(F.filter(held, lambda p: ~F.coalesce(p["type"], F.lit("")).isin(*ATTACHMENTS)), lambda p: F.coalesce(p["text"], F.lit(""))), "").alias("plain"),
-    )
+        F.col(conv).alias("conv"), F.col(turn).alias("turn"), called.alias("role"), head.alias("head"), attachments.alias("attachments"), _runs(held).alias("runs")
+    ).withColumns({"content": F.array_join(F.transform("runs", _visit), ""), "plain": F.array_join(F.transform("runs", lambda r: r["text"]), "")})
     start = F.length("head")
     expanded = F.aggregate("attachments", F.lit(0).cast("bigint"), lambda n, a: n + a["tokens"])
     return flat.select(
@@ -121,8 +147,8 @@ def format_turns(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", ro
     )
 
 
-def read_turns(formatted: DataFrame, conv: str = "conv_id", turn: str = "turn") -> DataFrame:
-    """(conv, turn, role, texts, placeholders, loss_text, chars, n_tokens) read back from ``format_turns``' rows.
+def read_turns(formatted: DataFrame, conv: str = "conv_id", turn: str = "turn", keep: list[str] | None = None) -> DataFrame:
+    """(conv, turn, role, texts, placeholders, loss_text, chars, n_tokens, ``keep``) read back from ``format_turns``' rows.
 
     texts are the unescaped texts around the placeholders; loss_text is what lies under the loss mask, unescaped.
     """
@@ -134,7 +160,7 @@ def read_turns(formatted: DataFrame, conv: str = "conv_id", turn: str = "turn")
         F.transform(F.split(content, PLACEHOLDER, -1), unescape).alias("texts"),
         F.regexp_extract_all(content, F.lit(PLACEHOLDER), F.lit(0)).alias("placeholders"),
         F.when(F.col("loss").isNotNull(), unescape(masked)).alias("loss_text"),
-        F.length("formatted").cast("bigint").alias("chars"), F.col("n_tokens"),
+        F.length("formatted").cast("bigint").alias("chars"), F.col("n_tokens"), *(keep or []),
     )
 
 

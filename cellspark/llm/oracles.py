@@ -87,6 +87,19 @@ SELECT conv_id, count(*) AS n_turns,
 FROM c GROUP BY conv_id
 """
 
+_SAFE = "regexp_replace({0}, '<(\\\\*)\\|', '<\\1\\\\|', 'g')"
+
+ATTACHED = f"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, concat_ws('/', conv_id, turn) AS ref FROM conversations),
+h AS (SELECT *, t[1:n // 2] AS a, t[n // 2 + 1:] AS b, (ceil(n / 28) * 2)::BIGINT AS image, n % 3 * 256 AS pages FROM c)
+SELECT conv_id, turn,
+  sha256('<|im_start|>' || {_SAFE.format("replace(replace(role, '\\', '\\\\'), chr(10), '\\n')")} || chr(10) || {_SAFE.format("a")} || '<|image|>' || {_SAFE.format("b")} || '<|document|><|im_end|>' || chr(10)) AS formatted_sha256,
+  '0:image:' || ref || ':' || image || ',1:document:' || ref || ':' || pages AS attached, '<|image|><|document|>' AS placeholders, 3::BIGINT AS n_texts,
+  sha256(a || chr(10) || b || chr(10)) AS texts_sha256, CASE WHEN role = 'assistant' THEN n + length('<|image|><|document|>') END AS loss_chars,
+  4 + strlen(role) + strlen(t) + image + pages AS n_tokens
+FROM h
+"""
+
 _LOW = f"translate(text, '{urls.UPPER}', '{urls.LOWER}')"
 _WORD = "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'"
 

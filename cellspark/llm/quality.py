@@ -137,7 +137,8 @@ def _slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", max_labelled: int = MAX_LABELLED) -> Model:
     """The model of labelled documents; ``labels`` has (key, label) rows, of which those with a null are left out.
 
-    Of each label the rows with the least hashes of their key are taken. A key labelled both ways counts as 1.
+    Of each label the rows with the least hashes of their key are taken. A key labelled both ways counts as 1; of a
+    key with several texts the one with the least hash is learnt from.
     """
     whole = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
 
@@ -174,7 +175,9 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
             )
 
     # max_labelled keys
-    chosen = whole.join(F.broadcast(store(drawn)), "key").select("key", "label", "text").dropDuplicates(["key"])
+    known = whole.join(F.broadcast(store(drawn)), "key").groupBy("key", "label")
+    # of a key's texts the one with the least hash, whatever the order of rows
+    chosen = known.agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
     kind = chosen.schema["key"].dataType.simpleString()
     rows = sorted(chosen.mapInArrow(sparse, f"key {kind}, label int, at binary, weight binary").collect(), key=lambda r: r["key"])
     vectors = [(np.frombuffer(r["at"], np.uint16).astype(np.int64), np.frombuffer(r["weight"], np.float32)) for r in rows]

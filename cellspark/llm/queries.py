@@ -46,10 +46,28 @@ def op3_chat_format(spark, sf_dir):
         F.lit(-1).cast("bigint").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(hostile).alias("text")
     )
     said = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(more)
-    turns = chat.format_turns(said.withColumn("parts", chat.text_part(F.col("text"))))
+    turns = chat.format_turns(said.withColumn("parts", chat.text_parts(F.col("text"))))
     return chat.digests(chat.read_turns(turns))
 
 
+@query(oracles.ATTACHED)
+def chat_attachments(spark, sf_dir):
+    """Every turn with an image inside its text and a document after it, formatted and read back."""
+    text, ref = F.coalesce("text", F.lit("")), F.concat_ws("/", "conv_id", "turn")
+    half = F.floor(F.length(text) / 2).cast("int")
+    parts = F.concat(
+        chat.text_parts(F.substring(text, F.lit(1), half)), F.array(chat.part("image", ref=ref, width=F.length(text), height=F.lit(56))),
+        chat.text_parts(F.substring(text, half + 1, F.length(text))), F.array(chat.part("document", ref=ref, pages=F.length(text) % 3)),
+    )
+    out = chat.format_turns(table(spark, sf_dir, "conversations").withColumn("parts", parts))
+    listed = F.array_join(F.transform("attachments", lambda a: F.concat_ws(":", a["ordinal"], a["type"], a["ref"], a["tokens"])), ",")
+    back = chat.read_turns(out.withColumn("attached", listed), keep=["attached", "formatted"])
+    return back.select(
+        "conv_id", "turn", F.sha2("formatted", 256).alias("formatted_sha256"), "attached", F.array_join("placeholders", "").alias("placeholders"),
+        F.size("texts").cast("bigint").alias("n_texts"), F.sha2(F.array_join("texts", "\n"), 256).alias("texts_sha256"), F.length("loss_text").cast("bigint").alias("loss_chars"), "n_tokens",
+    )
+
+
 @query(oracles.DECONTAMINATE)
 def op4_benchmark_decontamination(spark, sf_dir):
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -43,6 +43,8 @@ RULES = (
 )
 BASE = ("assign", "access", "hex")
 MANY_STRINGS, MANY_LETTERS = 256, 8
+#: Matches whose lengths are summed together.
+AT_ONCE = 128
 
 Alternative = frozenset[str]
 Clause = tuple[Alternative, ...]
@@ -168,21 +170,27 @@ def _spans(rule: Rule, order: int, text: Column) -> Column:
         lambda x: F.struct(F.length(x["before"]).alias("before"), F.length(x["match"]).alias("match"), F.length(x["value"]).alias("value")),
     )
     none = F.array().cast("array<struct<start:int,order:int,end:int,kind:string>>")
-    walked = F.aggregate(
-        apart,
-        F.struct(F.lit(0).alias("at"), none.alias("spans")),
-        lambda s, x: F.struct(
-            (s["at"] + x["before"] + F.coalesce(x["match"], F.lit(0))).alias("at"),
-            F.when(
-                x["value"] >= rule.least,
-                F.concat(
-                    s["spans"],
-                    F.array(F.struct((s["at"] + x["before"]).alias("start"), F.lit(order).alias("order"), (s["at"] + x["before"] + x["match"]).alias("end"), F.lit(rule.kind).alias("kind"))),
-                ),
-            ).otherwise(s["spans"]).alias("spans"),
-        ),
-    )
-    return F.when(F.regexp_like(text, pattern), walked["spans"]).otherwise(none)
+
+    def summed(lengths: Column) -> Column:
+        return F.aggregate(lengths, F.lit(0), lambda a, x: a + x)
+
+    def placed(s: Column) -> Column:
+        """Where each match begins: what lies before its block of matches, and before it in the block."""
+        spans = F.transform(
+            s["apart"],
+            lambda x, i: F.transform(
+                F.array(F.get(s["upto"], F.floor(i / AT_ONCE).cast("int")) + summed(F.slice(s["steps"], i - i % AT_ONCE + 1, i % AT_ONCE)) + x["before"]),
+                lambda at: F.struct(at.alias("start"), F.lit(order).alias("order"), (at + x["match"]).alias("end"), F.lit(rule.kind).alias("kind"), x["value"].alias("value")),
+            )[0],
+        )
+        kept = F.filter(spans, lambda x: x["value"] >= rule.least)
+        return F.transform(kept, lambda x: F.struct(*[x[c].alias(c) for c in ("start", "order", "end", "kind")]))
+
+    # sums over blocks of matches, then inside a block; a lambda's argument is worked out once
+    steps = F.transform(F.array(F.struct(apart.alias("apart"))), lambda s: F.struct(s["apart"].alias("apart"), F.transform(s["apart"], lambda x: x["before"] + F.coalesce(x["match"], F.lit(0))).alias("steps")))
+    sums = F.transform(steps, lambda s: F.struct(s["apart"].alias("apart"), s["steps"].alias("steps"), F.transform(F.sequence(F.lit(0), F.floor(F.size(s["steps"]) / AT_ONCE).cast("int")), lambda b: summed(F.slice(s["steps"], b * AT_ONCE + 1, AT_ONCE))).alias("sums")))
+    upto = F.transform(sums, lambda s: F.struct(s["apart"].alias("apart"), s["steps"].alias("steps"), F.transform(s["sums"], lambda _, b: summed(F.slice(s["sums"], 1, b))).alias("upto")))
+    return F.when(F.regexp_like(text, pattern), F.transform(upto, placed)[0]).otherwise(none)
 
 
 def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:

@@ -264,3 +264,21 @@ def test_every_match_fulfils_the_trigram_query():
     assert secrets.trigram_query("(foo|ba)r+x?") == []
     assert secrets.trigram_query("(abc|dex?)[0-9]+") == []
     assert secrets.trigram_query("(abcd|xyz)[0-9]+") == [(frozenset({"abc", "bcd"}), frozenset({"xyz"}))]
+
+
+def test_many_matches_in_one_text(spark):
+    """The time grows with the matches, not with their square; places stay right across blocks of matches."""
+    import time
+
+    many = "".join(f"token=abcdef{i} é api_key: x{i}, AKIA{'Q' * (i % 30)} " for i in range(16_000))
+    rows = [(1, many), (2, many[: len(many) // 3]), (3, "token=abcdefg")]
+    docs = documents(spark, rows)
+    secrets.find_secrets(documents(spark, rows[2:])).collect()
+    start = time.time()
+    got = {r["doc_id"]: r["spans"] for r in secrets.find_secrets(docs).collect()}
+    assert time.time() - start < 20
+    for key, text in rows:
+        want = []
+        for order, rule in enumerate(secrets.RULES):
+            want += [(m.start(), order, m.end(), rule.kind) for m in re.finditer(rule.pattern, text) if len(m[rule.group]) >= rule.least]
+        assert [tuple(s) for s in got[key]] == sorted(want)
