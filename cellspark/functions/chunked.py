@@ -18,7 +18,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 STEP_BUCKET = 4096
-VALUE_STEPS, VALUE_BASE = 1_000, 2_000_000
+#: Bits of a value's order key that one round of the median's selection tells apart.
+DIGIT_BITS = 16
 
 
 def step_bucket(col: str) -> Column:
@@ -124,41 +125,50 @@ def ordinal(df: DataFrame, keys: list[str], bucket: str, order: list[str], out:
     )
 
 
-def value_bucket(value: Column) -> Column:
-    """A whole number that grows with a double: its sign and logarithm in steps of a thousandth of an octave."""
-    size = F.floor(F.log2(F.abs(value)) * VALUE_STEPS) + VALUE_BASE
-    return (
-        F.when(F.isnan(value), 3 * VALUE_BASE)
-        .when(value == 0, 0)
-        .when(F.abs(value) == float("inf"), F.signum(value) * 2 * VALUE_BASE)
-        .otherwise(F.signum(value) * size)
-        .cast("bigint")
-    )
+def order_key(value: Column) -> Column:
+    """The 64-bit whole number that orders doubles: exponent and fraction bits, negated below zero; both zeros are 0.
+
+    NaN comes last, null stays null. Every step is exact: powers of two, a division by one, and differences of neighbours in size.
+    """
+    two, least = F.lit(2.0), F.lit(-1022.0)
+    size = F.when(F.abs(value) < float("inf"), F.abs(value)).otherwise(1.0)
+    guess = F.greatest(least, F.floor(F.log2(size)).cast("double"))
+    # the logarithm is rounded, so next to a power of two it may be off by one
+    exponent = F.greatest(least, guess + F.when(F.pow(two, guess) > size, -1.0).when(F.pow(two, guess + 1) <= size, 1.0).otherwise(0.0))
+    fraction = size / F.pow(two, exponent)  # from 1 up to 2; below 1 for the smallest numbers
+    bits = (exponent + 1022).cast("bigint") * (1 << 52) + (fraction * float(1 << 52)).cast("bigint")
+    whole = F.when(F.abs(value) == float("inf"), F.lit(2047 << 52)).when(size == 0, F.lit(0)).otherwise(bits)
+    return F.when(value.isNull(), None).when(F.isnan(value), F.lit((2047 << 52) + 1)).when(value < 0, -whole).otherwise(whole)
 
 
 def exact_median(df: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
-    """Exact median of ``value`` per key, without holding a key's values in one task.
+    """Exact median of ``value`` per key by radix selection, without holding a key's values in one task.
 
-    Equal values are counted first, before they move. The counts of each bucket of near values tell which
-    bucket holds the middle ranks; only its values are ranked. Null values are ignored.
+    Equal values are counted first, before they move. The counts are added up by the leading 48, 32 and 16 bits of the
+    values' order keys. From the coarsest table on, the digits that hold the middle ranks are looked up, and only what
+    lies below them in the next table: a window or a join key never has more than 2^16 rows, however close the values
+    are. Null values are ignored.
     """
     counts = (
-        df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_value")).agg(F.count(F.lit(1)).alias("_cnt"))
-    ).withColumn("_bucket", value_bucket(F.col("_value")))
-    key = Window.partitionBy(*keys)
-    middle = F.col("_upto") - F.col("_cnt") < F.floor((F.col("_n") + 2) / 2), F.col("_upto") >= F.floor((F.col("_n") + 1) / 2)
-    held = (
-        counts.groupBy(*keys, "_bucket")
-        .agg(F.sum("_cnt").alias("_cnt"))
-        .withColumn("_upto", F.sum("_cnt").over(key.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("_n", F.sum("_cnt").over(key))
-        .where(middle[0] & middle[1])
-        .select(*keys, "_bucket", (F.col("_upto") - F.col("_cnt")).alias("_before"), "_n")
+        df.where(F.col(value).isNotNull())
+        .groupBy(*keys, F.col(value).alias("_value"))
+        .agg(F.count(F.lit(1)).alias("_cnt"))
+        .withColumn("_key", order_key(F.col("_value")))
     )
-    inside = Window.partitionBy(*keys, "_bucket").orderBy("_value").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (
-        counts.join(held, [*keys, "_bucket"])
-        .withColumn("_upto", F.col("_before") + F.sum("_cnt").over(inside))
-        .where(middle[0] & middle[1])
+    finest = counts.groupBy(*keys, "_key").agg(F.sum("_cnt").alias("_cnt"), F.max("_value").alias("_value"))
+    levels = [finest.withColumn("_above", F.shiftright("_key", DIGIT_BITS))]
+    for _ in range(64 // DIGIT_BITS - 1):
+        up = levels[-1].groupBy(*keys, F.col("_above").alias("_key")).agg(F.sum("_cnt").alias("_cnt"))
+        levels.append(up.withColumn("_above", F.shiftright("_key", DIGIT_BITS)))
+
+    whole = Window.partitionBy(*keys)
+    upto = F.sum("_cnt").over(whole.orderBy("_key").rowsBetween(Window.unboundedPreceding, 0))
+    ranked = levels.pop().withColumns({"_upto": upto, "_n": F.sum("_cnt").over(whole)}).withColumns(
+        {"_low": F.floor((F.col("_n") + 1) / 2), "_high": F.floor((F.col("_n") + 2) / 2)}
     )
-    return ranked.groupBy(*keys).agg(((F.min("_value") + F.max("_value")) / 2).alias(out))
+    holds = (F.col("_upto") - F.col("_cnt") < F.col("_high")) & (F.col("_upto") >= F.col("_low"))
+    while levels:
+        held = ranked.where(holds).select(*keys, F.col("_key").alias("_above"), (F.col("_upto") - F.col("_cnt")).alias("_before"), "_low", "_high")
+        inside = Window.partitionBy(*keys, "_above").orderBy("_key").rowsBetween(Window.unboundedPreceding, 0)
+        ranked = levels.pop().join(held, [*keys, "_above"]).withColumn("_upto", F.col("_before") + F.sum("_cnt").over(inside))
+    return ranked.where(holds).groupBy(*keys).agg(((F.min("_value") + F.max("_value")) / 2).alias(out))

@@ -24,17 +24,29 @@ KEYS = ["cell_no", "make", "batch", "cap"]
 SAMPLE_COLS = ["cycle_no", "step_name", *TIME_ORDER]
 
 
+# A missing text key; values that begin with it get one more, so it is never a value.
+MISSING = "\x00"
+TEXT_KEYS = ["cell_no", "make", "batch"]
+
+
+def _marked(name: str) -> Column:
+    value = F.col(name)
+    return F.when(value.isNull(), MISSING).when(value.startswith(MISSING), F.concat(F.lit(MISSING), value)).otherwise(value).alias(name)
+
+
+def _unmarked(name: str) -> Column:
+    value = F.col(name)
+    return F.when(value == MISSING, None).when(value.startswith(MISSING), F.substring(value, F.lit(2), F.length(value))).otherwise(value)
+
+
 def with_keys(raw: DataFrame) -> DataFrame:
     """Samples under non-null keys, without the columns no operator reads.
 
-    Missing text keys become ``'None'``; a missing capacity becomes ``'NaN'``, which ``restore_keys`` turns
-    back into null.
+    A missing text key becomes a mark that no value can be, a missing capacity ``'NaN'``; ``restore_keys`` turns
+    both back into null.
     """
-    none = F.lit("None")
     return raw.select(
-        F.coalesce("cell_no", none).alias("cell_no"),
-        F.coalesce("make", none).alias("make"),
-        F.coalesce("batch", none).alias("batch"),
+        *[_marked(name) for name in TEXT_KEYS],
         F.coalesce((F.col("max_cap") + 0.0).cast("string"), F.lit("NaN")).alias("cap"),
         *SAMPLE_COLS,
     )
@@ -57,7 +69,8 @@ def usable_capacity() -> Column:
 
 
 def restore_keys(df: DataFrame) -> DataFrame:
-    return df.withColumn("max_cap", F.nanvl(nominal(), F.lit(None).cast("double"))).drop("cap")
+    """The cell's own keys again, null where they were missing."""
+    return df.withColumns({**{name: _unmarked(name) for name in TEXT_KEYS}, "max_cap": F.nanvl(nominal(), F.lit(None).cast("double"))}).drop("cap")
 
 
 def chunk_of(time: str, chunk_seconds: int) -> Column:

@@ -66,6 +66,7 @@ CYCLE = _per_cell(
     dchg_v_min=DOUBLE,
     coulombic_eff=DOUBLE,
 )
+CYCLE_ENERGY = _per_cell(cycle_no=INT, chg_energy_wh=DOUBLE, dchg_energy_wh=DOUBLE, v_max=DOUBLE, v_min=DOUBLE)
 OCV = _per_cell(
     direction=STRING,
     soc=DOUBLE,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.raw import EVENTS, ISLANDS, K, NUMBERED, SOC, fleet, half_even, lineitem, rounded, with_
+from oracle.raw import EVENTS, ISLANDS, K, NUMBERED, ORDER, SOC, fleet, half_even, lineitem, rounded, with_
 
 ORACLES: dict[str, str] = {}
 
@@ -28,6 +28,32 @@ from cycles"""
 ORACLES["cycle_agg"] = with_(fleet("RPT", "Longterm"), CYCLES) + _CYCLE_OUT
 ORACLES["cycle_agg_events"] = with_(EVENTS, CYCLES) + _CYCLE_OUT
 
+_ENERGY = f"""
+corners as (
+  select *, lag(us) over w as us0, lag(p) over w as p0 from (
+    select {K}, cycle_no, case when lower(step_name) like '%dchg%' then 'out' else 'in' end as moves,
+      coalesce(cast(cycler_step_no as varchar), step_name) as step, epoch_us(absolute_time) as us, volt_v * abs(current_a) as p,
+      absolute_time, cycler_step_no, capacity_ah, volt_v, current_a
+    from raw where lower(step_name) like '%chg%')
+  window w as (partition by {K}, cycle_no, moves, step order by {ORDER})
+),
+energies as (
+  select {K}, cycle_no, sum((us - us0) / cast(1000000 as double) * (p + p0) / 2) filter (moves = 'in') as e_in,
+    sum((us - us0) / cast(1000000 as double) * (p + p0) / 2) filter (moves = 'out') as e_out,
+    count(*) filter (moves = 'in') as n_in, count(*) filter (moves = 'out') as n_out, max(volt_v) as top, min(volt_v) as bottom
+  from corners group by {K}, cycle_no
+)"""
+_ENERGY_OUT = """
+round(case when n_in > 0 then coalesce(e_in, 0) / 3600 end, 6) as chg_energy_wh, round(case when n_out > 0 then coalesce(e_out, 0) / 3600 end, 6) as dchg_energy_wh,
+  round(top, 6) as v_max, round(bottom, 6) as v_min"""
+ORACLES["cycle_energy_lineitem"] = with_(lineitem("RPT"), _ENERGY) + f"select {K}, cycle_no, {_ENERGY_OUT} from energies"
+ORACLES["cycle_energy_events"] = with_(EVENTS, _ENERGY) + f"select {K}, cycle_no, {_ENERGY_OUT} from energies"
+_SAME = " and ".join(f"c.{k} is not distinct from e.{k}" for k in ("make", "batch", "cell_no", "max_cap", "cycle_no"))
+ORACLES["cycles_with_energy_lineitem"] = with_(lineitem("Longterm"), CYCLES, _ENERGY) + f"""
+select c.*, round(case when chg_cap_ah > 0 then dchg_cap_ah / chg_cap_ah end, 3) as coulombic_eff, {_ENERGY_OUT}
+from (select {K}, cycle_no, {rounded(['chg_cap_ah', 'avg_chg_v', 'chg_v_max', 'dchg_cap_ah', 'avg_dchg_v', 'dchg_v_min'], 6)} from cycles) c
+join energies e on {_SAME}"""
+
 ORACLES["state_of_health"] = with_(fleet("RPT"), CYCLES) + f"""
 select {K}, round(max(dchg_cap_ah), 6) as q_rpt_ah, round(max(chg_cap_ah), 6) as q_rpt_chg_ah,
   round(case when max_cap > 0 then max(dchg_cap_ah) / max_cap * 100.0 end, 6) as Soh
@@ -601,7 +627,7 @@ def _of_lines(name: str, *tests: str) -> None:
 
 
 for _name, _tests in {
-    "cycle_agg": ("RPT", "Longterm"), "state_of_health": ("RPT",), "rate_capability": ("RateCapability",), "self_discharge": ("SelfDischarge",),
+    "cycle_agg": ("RPT", "Longterm"), "state_of_health": ("RPT",), "rate_capability": ("RateCapability",), "rate_capability_strict": ("RateCapability",), "self_discharge": ("SelfDischarge",),
     "constant_power": ("ConstantPower",), "ocv_curves": ("OCVSOC",), "peak_power": ("PeakPower",), "hppc_pulses": ("HPPC",), "dcir_anchors": ("DCIR",),
     "gitt_pulses": ("GITT",), "steps_by_number": ("HPPC",),
 }.items():

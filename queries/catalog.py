@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from cellspark.functions.chunked import exact_median, neighbours
 from cellspark.functions.lineage import cut
-from cellspark.operators import cycles, segment
+from cellspark.operators import cycles, energy, segment
 from cellspark.operators.dcir import extract_dcir_anchors
 from cellspark.operators.gitt import extract_gitt_pulses
 from cellspark.operators.hppc import detect_hppc_pulses
@@ -361,6 +361,26 @@ def cycle_agg_lineitem(spark, sf_dir):
     return rounded(cycles.aggregate_per_cycle(lineitem(spark, sf_dir, "RPT")), 9)
 
 
+@query
+def cycle_energy_lineitem(spark, sf_dir):
+    return rounded(energy.cycle_energy(lineitem(spark, sf_dir, "RPT")))
+
+
+@query
+def cycle_energy_events(spark, sf_dir):
+    return rounded(energy.cycle_energy(events(spark, sf_dir)))
+
+
+@query
+def cycles_with_energy_lineitem(spark, sf_dir):
+    return rounded(energy.cycles_with_energy(lineitem(spark, sf_dir, "Longterm")).withColumn("coulombic_eff", F.round("coulombic_eff", 3)))
+
+
+@query
+def rate_capability_strict_lineitem(spark, sf_dir):
+    return rounded(extract_rate_capability(lineitem(spark, sf_dir, "RateCapability"), strict_direction=True))
+
+
 @query
 def state_of_health_lineitem(spark, sf_dir):
     return rounded(cycles.state_of_health(cycles.rpt_capacity(lineitem(spark, sf_dir, "RPT"))))

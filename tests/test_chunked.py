@@ -1,5 +1,6 @@
 """The two-level operators against plain loops, with buckets small enough to be crossed often."""
 
+import math
 import random
 import statistics
 
@@ -118,3 +119,38 @@ def test_median_of_one_value_and_of_wide_ranges(spark):
     df = spark.createDataFrame([(k, v) for k, vs in groups.items() for v in vs] + [("same", None)], "key string, v double")
     got = {r["key"]: r["m"] for r in chunked.exact_median(df, ["key"], "v", "m").collect()}
     assert got == {k: pytest.approx(statistics.median(v), abs=0) for k, v in groups.items()}
+
+
+def test_median_of_many_near_values_is_found_in_small_groups(spark):
+    """A million values between 3.3 and 3.3 + 1e-9 share their leading bits; no group of a round outgrows a digit's range."""
+    n = 1_000_000
+    rows = spark.range(n).select(F.lit("k").alias("key"), (F.lit(3.3) + F.col("id") * F.lit(1e-15)).alias("v"))
+    assert chunked.exact_median(rows, ["key"], "v", "m").first()["m"] == pytest.approx(3.3 + (n - 1) / 2 * 1e-15, abs=1e-15)
+    keys = rows.select(F.shiftright(chunked.order_key(F.col("v")), chunked.DIGIT_BITS).alias("above"), chunked.order_key(F.col("v")).alias("key")).distinct()
+    assert keys.groupBy("above").count().agg(F.max("count")).first()[0] <= 1 << chunked.DIGIT_BITS < keys.count()
+
+
+def test_order_keys_are_the_bits_of_a_double(spark):
+    import struct
+
+    rng = random.Random(4)
+    values = [struct.unpack("<d", struct.pack("<Q", rng.getrandbits(64)))[0] for _ in range(3000)]
+    values += [2.0**e for e in range(-1074, 1024)] + [x for e in range(-1021, 1023) for x in (math.nextafter(2.0**e, 0), math.nextafter(2.0**e, math.inf))]
+    values += [0.0, -0.0, math.inf, -math.inf, 5e-324, -5e-324, 1.7976931348623157e308, 2.2250738585072014e-308, 2.225073858507201e-308]
+    values = [v for v in values if not math.isnan(v)]
+
+    def bits(v):
+        whole = struct.unpack("<q", struct.pack("<d", abs(v)))[0]
+        return -whole if v < 0 else whole
+
+    got = spark.createDataFrame([(v,) for v in values], "v double").select("v", chunked.order_key(F.col("v")).alias("k")).collect()
+    assert all(r["k"] == bits(r["v"]) for r in got) and len(got) == len(values)
+    nan = spark.sql("select double('NaN') as v, cast(null as double) as n").select(chunked.order_key(F.col("v")), chunked.order_key(F.col("n"))).first()
+    assert nan[0] > bits(math.inf) and nan[1] is None
+
+
+def test_charge_tracker_over_long_cells(spark):
+    """Thousands of steps, several rounds inside a bucket and over buckets, two cells at once."""
+    deltas = [random.Random(k).uniform(-0.3, 0.3) for k in range(9000)]
+    assert _soc(spark, deltas) == pytest.approx(_fold(deltas), abs=1e-9)
+    assert _soc(spark, []) == [] and _soc(spark, [-0.25]) == [1.0]

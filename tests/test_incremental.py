@@ -162,6 +162,33 @@ def test_csv_with_missing_columns(spark, tmp_path):
     assert (row["cell_no"], row["volt_v"], row["current_a"]) == ("0003", 3.3, None)
 
 
+def test_cells_of_a_csv_without_make_and_batch_have_one_row(spark, tmp_path):
+    """Sessions, curves and capacities of a cell meet whether or not its keys are known."""
+    names = ["cell_no", "cycle_no", "step_name", "absolute_time", "volt_v", "current_a", "capacity_ah", "max_cap", "test"]
+    rows = raw(spark, _ocv(), _rest(), _rpt(), Cell("RPT", cell="None").step("CC_DChg", 3600, 5, -9.0)).select(*names)
+    rows.coalesce(1).write.option("header", True).csv(str(tmp_path / "csv"))
+    found = ingest.read_csv(spark, str(tmp_path / "csv"))
+    got = {r["cell_no"]: r for r in wide.build_wide(found).collect()}
+    assert set(got) == {"0001", "None"} and len(got) == 2
+    one = got["0001"]
+    assert one["make"] is None and one["batch"] is None and one["max_cap"] == 100.0
+    assert len(one["v_oc_curve"]) == 11 and one["q_rpt_ah"] == 90.0 and one["self_disch_v_start_v"] == 3.5 and one["test_session_start"] is not None
+    for name in ("ocv", "self_discharge", "cycles_rpt"):
+        jobs.run_job(found, name, str(tmp_path / "out"))
+    merged = {r["cell_no"]: r for r in jobs.consolidate(spark, str(tmp_path / "out")).collect()}
+    assert set(merged) == {"0001", "None"} and len(merged["0001"]["v_oc_curve"]) == 11 and merged["0001"]["q_rpt_ah"] == 90.0
+
+
+def test_keys_come_back_as_they_were(spark):
+    from cellspark.operators import segment
+
+    keys = [(None, "None", "", 1.0), ("\x00", None, "b", None), ("\x00\x00a", "m", None, float("inf"))]
+    rows = raw(spark, *[Cell("T", cell=c, make=m, batch=b, max_cap=x).step("Rest", 1, 1) for c, m, b, x in keys])
+    marked = segment.with_keys(rows)
+    assert all(r[k] is not None for r in marked.collect() for k in segment.KEYS)
+    assert {tuple(r) for r in segment.restore_keys(marked).select("cell_no", "make", "batch", "max_cap").collect()} == set(keys)
+
+
 def test_jobs_write_tables_and_consolidate(spark, tmp_path):
     out = str(tmp_path / "out")
     data = raw(spark, _ocv(), _rest(), _rpt())
