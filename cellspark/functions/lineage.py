@@ -33,8 +33,11 @@ def table_path(spark: SparkSession, kind: str) -> str:
     return f"{shared_folder(spark)}/tables-{spark.sparkContext.applicationId}/{kind}-{uuid.uuid4().hex}"
 
 
-def store(df: DataFrame) -> DataFrame:
-    """Write a table as Parquet: computed once, compressed, and later steps read only the columns they use."""
+def store(df: DataFrame, folders: list[str] | None = None) -> DataFrame:
+    """Write a table as Parquet: computed once, compressed, and later steps read only the columns they use.
+
+    ``folders`` are columns by whose values it is written in folders; a filter on them reads only those.
+    """
     path = table_path(df.sparkSession, "table")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.partitionBy(*(folders or [])).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)

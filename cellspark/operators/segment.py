@@ -39,8 +39,8 @@ def _unmarked(name: str) -> Column:
     return F.when(value == MISSING, None).when(value.startswith(MISSING), F.substring(value, F.lit(2), F.length(value))).otherwise(value)
 
 
-def with_keys(raw: DataFrame) -> DataFrame:
-    """Samples under non-null keys, without the columns no operator reads.
+def with_keys(raw: DataFrame, *more: str) -> DataFrame:
+    """Samples under non-null keys, without the columns no operator reads; ``more`` are kept too.
 
     A missing text key becomes a mark that no value can be, a missing capacity ``'NaN'``; ``restore_keys`` turns
     both back into null.
@@ -49,6 +49,7 @@ def with_keys(raw: DataFrame) -> DataFrame:
         *[_marked(name) for name in TEXT_KEYS],
         F.coalesce((F.col("max_cap") + 0.0).cast("string"), F.lit("NaN")).alias("cap"),
         *SAMPLE_COLS,
+        *more,
     )
 
 

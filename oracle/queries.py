@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from oracle.raw import EVENTS, ISLANDS, K, NUMBERED, ORDER, SOC, fleet, half_even, lineitem, rounded, with_
+from oracle.raw import EVENTS, ISLANDS, K, NUMBERED, ORDER, SOC, all_of, filled, half_even, lineitem, rounded, telemetry, with_
 
 ORACLES: dict[str, str] = {}
+#: SQL over telemetry that is still to be filled in.
+TEMPLATES: dict[str, str] = {}
 
 CYCLES = f"""
 step_level as (
@@ -25,7 +27,7 @@ select {K}, cycle_no, {rounded(['chg_cap_ah', 'avg_chg_v', 'chg_v_max', 'dchg_ca
   round(case when chg_cap_ah > 0 then dchg_cap_ah / chg_cap_ah end, 9) as coulombic_eff
 from cycles"""
 
-ORACLES["cycle_agg"] = with_(fleet("RPT", "Longterm"), CYCLES) + _CYCLE_OUT
+TEMPLATES["cycle_agg"] = with_(telemetry("RPT", "Longterm"), CYCLES) + _CYCLE_OUT
 ORACLES["cycle_agg_events"] = with_(EVENTS, CYCLES) + _CYCLE_OUT
 
 _ENERGY = f"""
@@ -54,12 +56,12 @@ select c.*, round(case when chg_cap_ah > 0 then dchg_cap_ah / chg_cap_ah end, 3)
 from (select {K}, cycle_no, {rounded(['chg_cap_ah', 'avg_chg_v', 'chg_v_max', 'dchg_cap_ah', 'avg_dchg_v', 'dchg_v_min'], 6)} from cycles) c
 join energies e on {_SAME}"""
 
-ORACLES["state_of_health"] = with_(fleet("RPT"), CYCLES) + f"""
+TEMPLATES["state_of_health"] = with_(telemetry("RPT"), CYCLES) + f"""
 select {K}, round(max(dchg_cap_ah), 6) as q_rpt_ah, round(max(chg_cap_ah), 6) as q_rpt_chg_ah,
   round(case when max_cap > 0 then max(dchg_cap_ah) / max_cap * 100.0 end, 6) as Soh
 from cycles group by {K}"""
 
-ORACLES["rpt_c_rate"] = with_(fleet("RPT")) + f"""
+TEMPLATES["rpt_c_rate"] = with_(telemetry("RPT")) + f"""
 select {K}, round(arg_min(rate, absolute_time), 6) as rpt_protocol_c_rate from (
   select *, try_cast(regexp_extract(coalesce(crate, drate), '([0-9]*\\.?[0-9]+)', 1) as double) as rate from raw)
 where rate is not null group by {K}"""
@@ -68,7 +70,7 @@ _USABLE = "usable as (select * from steps where max_cap > 0)"
 
 
 def _rate(chg: str) -> str:
-    return with_(fleet("RateCapability"), ISLANDS, _USABLE) + f"""
+    return with_(telemetry("RateCapability"), ISLANDS, _USABLE) + f"""
 select {K}, direction, c_rate, round(median(step_capacity_ah), 6) as q_ah, cast(null as double) as energy_wh from (
   select *, {half_even('abs(current_mean_a) / max_cap', 2)} as c_rate, unnest(case
       when lower(step_name) like '%dchg%' and ({chg}) then ['dchg', 'chg']
@@ -77,8 +79,8 @@ select {K}, direction, c_rate, round(median(step_capacity_ah), 6) as q_ah, cast(
 group by {K}, direction, c_rate"""
 
 
-ORACLES["rate_capability"] = _rate("lower(step_name) like '%chg%'")
-ORACLES["rate_capability_strict"] = _rate("lower(step_name) like '%chg%' and lower(step_name) not like '%dchg%'")
+TEMPLATES["rate_capability"] = _rate("lower(step_name) like '%chg%'")
+TEMPLATES["rate_capability_strict"] = _rate("lower(step_name) like '%chg%' and lower(step_name) not like '%dchg%'")
 
 _SD = f"""
 near as (
@@ -91,14 +93,14 @@ rest as (
   where step_name = 'Rest' and duration_s >= 3600
   qualify row_number() over (partition by {K} order by duration_s desc, step_no) = 1
 )"""
-ORACLES["self_discharge"] = with_(fleet("SelfDischarge"), NUMBERED, _SD) + f"""
+TEMPLATES["self_discharge"] = with_(telemetry("SelfDischarge"), NUMBERED, _SD) + f"""
 select {K}, round(duration_s, 6) as rest_duration_s, round(v_first, 6) as v_start, round(v_last, 6) as v_end,
   round((v_last - v_first) / (duration_s / 3600.0) * 1000.0, 6) as "dv_dt_mV_per_h",
   round(q_after, 6) as q_recovered_ah,
   round(case when q_before > 0 then q_after / q_before * 100.0 end, 6) as retention_pct,
   cast(null as double) as dsoc_per_day, 25.0 as ambient_c from rest"""
 
-ORACLES["constant_power"] = with_(fleet("ConstantPower"), ISLANDS) + f"""
+TEMPLATES["constant_power"] = with_(telemetry("ConstantPower"), ISLANDS) + f"""
 select {K}, 'dchg' as direction, round(power_w, 6) as power_w, round(power_w * duration_s / 3600.0, 6) as energy_wh,
   round(duration_s, 6) as duration_s, cast(null as double) as q_ah
 from steps where lower(step_name) like '%cp%' and lower(step_name) like '%dchg%'"""
@@ -133,7 +135,7 @@ ocv as (
   select {K}, direction, g as soc, case when x0 is null then y1 when x1 is null or x0 = g then y0
     else (y1 - y0) / (x1 - x0) * (g - x0) + y0 end as v_oc from bracket
 )"""
-ORACLES["ocv_curves"] = with_(fleet("OCVSOC"), NUMBERED, OCV) + f"""
+TEMPLATES["ocv_curves"] = with_(telemetry("OCVSOC"), NUMBERED, OCV) + f"""
 select {K}, direction, round(soc, 6) as soc, round(v_oc, 6) as v_oc from ocv"""
 
 PEAK = f"""
@@ -167,7 +169,7 @@ peak as (
 latest as (
   select * from peak qualify row_number() over (partition by {K}, direction, soc order by block desc) = 1
 )"""
-ORACLES["peak_power"] = with_(fleet("PeakPower"), ISLANDS, SOC, PEAK, recursive=True) + f"""
+TEMPLATES["peak_power"] = with_(telemetry("PeakPower"), ISLANDS, SOC, PEAK, recursive=True) + f"""
 select {K}, direction, soc, round(abs(v_at_peak * i_at_peak), 6) as p_peak_w, round(v_at_peak, 6) as v_at_peak,
   round(i_at_peak, 6) as i_at_peak, round(duration_s, 6) as duration_s from latest"""
 
@@ -209,7 +211,7 @@ hppc as (
   from pulse p join s7 k on k.make = p.make and k.batch = p.batch and k.cell_no = p.cell_no
     and k.max_cap is not distinct from p.max_cap and k.step_no = p.step_no and k.j = k.knee
 )"""
-ORACLES["hppc_pulses"] = with_(fleet("HPPC"), NUMBERED, HPPC) + f"""
+TEMPLATES["hppc_pulses"] = with_(telemetry("HPPC"), NUMBERED, HPPC) + f"""
 select {K}, cycle_no, cast(pulse_idx as integer) as pulse_idx, cast(step_no as integer) as step_no,
   round(duration_s, 6) as duration_s, round(i_mean, 6) as "I_step", round(pulse_idx * cast(0.1 as double), 6) as soc_start,
   round(v_pre, 6) as "V_pre", round(v_first, 6) as "V_post", round(v_fast, 6) as "V_fast", round(v_last, 6) as "V_end",
@@ -266,7 +268,7 @@ dcir as (
     {half_even('soc0 + q / 3600.0 / max_cap', 3)} as soc, abs(v_s - v_e) / abs(i_at_pulse) * 1000 as r0_mohm, i_at_pulse
   from burst
 )"""
-ORACLES["dcir_anchors"] = with_(fleet("DCIR"), ISLANDS, SOC, DCIR, recursive=True) + f"""
+TEMPLATES["dcir_anchors"] = with_(telemetry("DCIR"), ISLANDS, SOC, DCIR, recursive=True) + f"""
 select {K}, pulse_idx, soc, round(r0_mohm, 6) as r0_mohm, round(i_at_pulse, 6) as i_at_pulse from dcir"""
 
 GITT = f"""
@@ -282,7 +284,7 @@ gitt as (
   where contains(step_name, 'CC_DChg') and duration_s between 60 and 1800 and abs(current_mean_a) >= 1
     and lower(n_name) like '%rest%' and n_dur >= 600
 )"""
-ORACLES["gitt_pulses"] = with_(fleet("GITT"), ISLANDS, SOC, GITT, recursive=True) + f"""
+TEMPLATES["gitt_pulses"] = with_(telemetry("GITT"), ISLANDS, SOC, GITT, recursive=True) + f"""
 select {K}, pulse_idx, {half_even('soc0', 3)} as soc,
   round(abs(end_volt_v - start_volt_v) / abs(current_mean_a) * 1000, 6) as r_pulse_mohm,
   cast(null as double) as tau_diff_s, cast(null as double) as v_inf_v from gitt"""
@@ -371,7 +373,7 @@ gitt_fit as (
     left join v_start v on r.make = v.make and r.batch = v.batch and r.cell_no = v.cell_no
       and r.max_cap = v.max_cap and r.block = v.block
 )"""
-ORACLES["gitt_relaxation"] = with_(fleet("GITT"), ISLANDS, SOC, GITT, FIT, recursive=True) + f"""
+TEMPLATES["gitt_relaxation"] = with_(telemetry("GITT"), ISLANDS, SOC, GITT, FIT, recursive=True) + f"""
 select {K}, pulse_idx, round(tau, 2) as tau_diff_s, round(v_inf, 6) as v_inf_v from gitt_fit"""
 
 ORACLES["conform_raw"] = """
@@ -396,7 +398,7 @@ select {K}, block, lag(step_name) over w as prev_step, round(lag(duration_s) ove
   lead(step_name) over w as next_step, round(lead(duration_s) over w, 6) as next_s
 from steps window w as (partition by {K} order by block)"""
 
-ORACLES["steps_by_number"] = with_(fleet("HPPC"), NUMBERED) + f"""
+TEMPLATES["steps_by_number"] = with_(telemetry("HPPC"), NUMBERED) + f"""
 select {K}, step_no, step_name, cycle_no, n_samples, t_start, t_end,
   {rounded(['v_first', 'v_last', 'i_abs_mean', 'i_mean', 'q_max', 'duration_s'])} from steps"""
 
@@ -486,13 +488,13 @@ OCV_PART = _part(
         v_oc_chg_curve=_list("v_oc", "soc, v_oc", _C),
         pts=f"list(struct_pack(v := v_oc, s := soc) order by v_oc, soc) filter ({_D})",
     ),
-    fleet("OCVSOC"), NUMBERED, OCV,
+    telemetry("OCVSOC"), NUMBERED, OCV,
 )
 SD_PART = _part(
     "w_sd",
     f"""select {K}, duration_s / 3600.0 as self_disch_rest_duration_h, v_first as self_disch_v_start_v,
     v_last as self_disch_v_end_v, cast(25.0 as double) as self_disch_ambient_c from rest""",
-    fleet("SelfDischarge"), NUMBERED, _SD,
+    telemetry("SelfDischarge"), NUMBERED, _SD,
 )
 
 
@@ -507,14 +509,14 @@ _DSOC = f"""case when self_disch_rest_duration_h > 0 then case when len(pts) > 1
     then (({_look_up('self_disch_v_start_v')}) - ({_look_up('self_disch_v_end_v')})) / (self_disch_rest_duration_h / 24.0)
     else -(self_disch_v_end_v - self_disch_v_start_v) / 0.05 / (self_disch_rest_duration_h / 24.0) end end"""
 
-ORACLES["dsoc_per_day"] = with_(
-    f"cells as (with {fleet('OCVSOC', 'SelfDischarge')} select distinct {K} from raw)", OCV_PART, SD_PART
+TEMPLATES["dsoc_per_day"] = with_(
+    f"cells as (with {telemetry('OCVSOC', 'SelfDischarge')} select distinct {K} from raw)", OCV_PART, SD_PART
 ) + f"""
 select {K}, round({_DSOC}, 6) as self_disch_dsoc_per_day
 from cells left join w_ocv using ({K}) left join w_sd using ({K})"""
 
 _WIDE_PARTS = [
-    f"""cells as (with {fleet()} select {K}, min(absolute_time) as test_session_start,
+    f"""cells as (with {telemetry()} select {K}, min(absolute_time) as test_session_start,
       max(absolute_time) as test_session_end from raw where test <> 'Longterm' group by {K})""",
     _part(
         "w_hppc",
@@ -529,7 +531,7 @@ _WIDE_PARTS = [
             r2_dchg_curve=_list("r2", "pulse_idx"),
             c2_dchg_curve=_list("tau2 / nullif(r2 * 1e-3, 0)", "pulse_idx", scale="1e1"),
         ),
-        fleet("HPPC"), NUMBERED, HPPC,
+        telemetry("HPPC"), NUMBERED, HPPC,
     ),
     OCV_PART,
     _part(
@@ -543,7 +545,7 @@ _WIDE_PARTS = [
             dcir_i_at_pulse=_list("i_at_pulse", "pulse_idx"),
             r_dc_curve=_list("r0_mohm", "pulse_idx"),
         ),
-        fleet("DCIR"), ISLANDS, SOC, DCIR, recursive=True,
+        telemetry("DCIR"), ISLANDS, SOC, DCIR, recursive=True,
     ),
     _part(
         "w_gitt",
@@ -554,7 +556,7 @@ _WIDE_PARTS = [
             tau_diff_curve=_list("tau", "pulse_idx", scale="1e1"),
             v_inf_curve=_list("v_inf", "pulse_idx"),
         ),
-        fleet("GITT"), ISLANDS, SOC, GITT, FIT, recursive=True,
+        telemetry("GITT"), ISLANDS, SOC, GITT, FIT, recursive=True,
     ),
     _part(
         "w_rate",
@@ -565,7 +567,7 @@ _WIDE_PARTS = [
             rate_cap_c_rates_chg=_list("c_rate", "c_rate", _C),
             rate_cap_q_chg_curve=_list("q_ah", "c_rate", _C),
         ),
-        fleet("RateCapability"), ISLANDS, _USABLE, _RATE_ROWS,
+        telemetry("RateCapability"), ISLANDS, _USABLE, _RATE_ROWS,
     ),
     _part(
         "w_cp",
@@ -575,7 +577,7 @@ _WIDE_PARTS = [
             const_power_t_dis_curve=_list("duration_s", "power_w, duration_s"),
             const_power_energy_curve=_list("power_w * duration_s / 3600.0", "power_w, duration_s"),
         ),
-        fleet("ConstantPower"), ISLANDS,
+        telemetry("ConstantPower"), ISLANDS,
     ),
     _part(
         "w_peak",
@@ -585,20 +587,20 @@ _WIDE_PARTS = [
             p_peak_10s_dchg_curve=_list("abs(v_at_peak * i_at_peak)", "soc", _D),
             p_peak_10s_chg_curve=_list("abs(v_at_peak * i_at_peak)", "soc", _C),
         ),
-        fleet("PeakPower"), ISLANDS, SOC, PEAK, recursive=True,
+        telemetry("PeakPower"), ISLANDS, SOC, PEAK, recursive=True,
     ),
     SD_PART,
     _part(
         "w_rpt",
         _per_cell("cycles", q_rpt_ah="max(dchg_cap_ah)", q_rpt_chg_ah="max(chg_cap_ah)"),
-        fleet("RPT"), CYCLES,
+        telemetry("RPT"), CYCLES,
     ),
     _part(
         "w_crate",
         f"""select {K}, arg_min(rate, absolute_time) as rpt_protocol_c_rate from (select *, try_cast(
           regexp_extract(coalesce(crate, drate), '([0-9]*\\.?[0-9]+)', 1) as double) as rate from raw)
         where rate is not null group by {K}""",
-        fleet("RPT"),
+        telemetry("RPT"),
     ),
 ]
 _WIDE_NAMES = ["w_hppc", "w_ocv", "w_dcir", "w_gitt", "w_rate", "w_cp", "w_peak", "w_sd", "w_rpt", "w_crate"]
@@ -613,7 +615,7 @@ _WIDE_LISTS = (
     "p_peak_10s_chg_curve hppc_soc_at_pulse_dchg hppc_i_at_pulse_dchg r0_dchg_curve r1_dchg_curve c1_dchg_curve "
     "r2_dchg_curve c2_dchg_curve gitt_soc_grid r_pulse_curve tau_diff_curve v_inf_curve"
 ).split()
-ORACLES["wide_cells"] = with_(*_WIDE_PARTS) + f"""
+TEMPLATES["wide_cells"] = with_(*_WIDE_PARTS) + f"""
 select {K}, make as cohort, test_session_start, test_session_end, 'LFP' as chemistry, 'ok' as qc_flag,
   'cellspark-1.0' as processor_version, round(case when max_cap > 0 then q_rpt_ah / max_cap * 100.0 end, 6) as "Soh",
   {rounded(_WIDE_DOUBLES)}, {', '.join(_WIDE_LISTS)}, round({_DSOC}, 6) as self_disch_dsoc_per_day,
@@ -621,17 +623,9 @@ select {K}, make as cohort, test_session_start, test_session_end, 'LFP' as chemi
 from cells {' '.join(f'left join {w} using ({K})' for w in _WIDE_NAMES)}"""
 
 
-def _of_lines(name: str, *tests: str) -> None:
-    """The query's SQL over order lines instead of the fleet."""
-    ORACLES[f"{name}_lineitem"] = ORACLES[name].replace(fleet(*tests), lineitem(tests[0]))
-
-
-for _name, _tests in {
-    "cycle_agg": ("RPT", "Longterm"), "state_of_health": ("RPT",), "rate_capability": ("RateCapability",), "rate_capability_strict": ("RateCapability",), "self_discharge": ("SelfDischarge",),
-    "constant_power": ("ConstantPower",), "ocv_curves": ("OCVSOC",), "peak_power": ("PeakPower",), "hppc_pulses": ("HPPC",), "dcir_anchors": ("DCIR",),
-    "gitt_pulses": ("GITT",), "steps_by_number": ("HPPC",),
-}.items():
-    _of_lines(_name, *_tests)
+for _name, _sql in TEMPLATES.items():
+    ORACLES[f"{_name}_lineitem"] = filled(_sql, all_of if _name in ("gitt_relaxation", "wide_cells") else lineitem)
+ORACLES["cycle_agg_lineitem"] = filled(TEMPLATES["cycle_agg"], lambda *_: lineitem("RPT"))
 
 
 def _results(name: str, where: str) -> str:
@@ -644,17 +638,14 @@ def _results(name: str, where: str) -> str:
   from ses left join cap on {same})"""
 
 
-_BOTH = with_(_results("n", "cycle_no >= 3 and batch = '0'"), _results("o", "cycle_no < 3"))
+_BOTH = with_(_results("n", "cycle_no >= 3"), _results("o", "cycle_no < 3"))
 _SAME = "n.make = o.make and n.batch = o.batch and n.cell = o.cell and n.cap = o.cap"
-ORACLES["result_upsert_lineitem"] = _BOTH + f"""
+ORACLES["result_upsert_all_lineitem"] = _BOTH + f"""
 select n.make, n.cap as max_cap, n.cell, n.batch, round(coalesce(n.q / 5.0 * 100.0, o.q / 5.0 * 100.0), 6) as "Soh", round(coalesce(n.q, o.q), 6) as q_rpt_ah,
   round(coalesce(n.q_chg, o.q_chg), 6) as q_rpt_chg_ah, least(n.t0, o.t0) as test_session_start, greatest(n.t1, o.t1) as test_session_end
 from n left join o on {_SAME}"""
-ORACLES["existing_results_lineitem"] = _BOTH + f"""
+ORACLES["existing_results_all_lineitem"] = _BOTH + f"""
 select o.make, o.cap as max_cap, o.cell, o.batch, round(o.q, 6) as q_rpt_ah, o.t1 as test_session_end from o join n on {_SAME}"""
-_ALL = with_(_results("n", "cycle_no >= 3"), _results("o", "cycle_no < 3"))
-ORACLES["result_upsert_all_lineitem"] = ORACLES["result_upsert_lineitem"].replace(_BOTH, _ALL)
-ORACLES["existing_results_all_lineitem"] = ORACLES["existing_results_lineitem"].replace(_BOTH, _ALL)
 ORACLES["latest_states_events"] = """
 select user_id, strftime(ts, '%Y-%m-%d') as last_run_date, event_type as "table" from events
 qualify row_number() over (partition by user_id order by ts desc, event_type desc) = 1"""

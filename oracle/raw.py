@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from queries.protocols import values_sql
+import re
+from collections.abc import Callable
 
 K = "make, batch, cell_no, max_cap"
 ORDER = (
@@ -12,24 +13,14 @@ ORDER = (
 MICROS = "epoch_us(absolute_time)"
 
 
-def fleet(*tests: str) -> str:
-    """CTE ``raw``: every supplier as a cell running the programs of ``tests``."""
-    return f"""
-raw as (
-  select lpad(cast(s_suppkey as varchar), 8, '0') as cell_no, cast(cycle_no as integer) as cycle_no,
-    case when s_suppkey % 4 <> 0 then cast(step_no as integer) end as cycler_step_no, step_name,
-    make_timestamp((start_ms + k * dt_ms + s_suppkey * 10) * 1000) as absolute_time,
-    case when k <> null_at then round(v0 + a * (1.0 - exp(-(k * dt_ms / cast(1000.0 as double)) / tau))
-      + s_acctbal * cast(1.2345678e-6 as double)
-      + noise * sin(k * cast(1.7 as double) + s_suppkey), 6) end as volt_v,
-    i_c * (cast(100.0 as double) + s_suppkey % 5) * (1.0 + s_nationkey * cast(0.001 as double)) as current_a,
-    (cast(100.0 as double) + s_suppkey % 5) * (c0 + i_c * (k * dt_ms / cast(1000.0 as double)) / cast(3600.0 as double))
-      as capacity_ah,
-    crate, drate, cast(null as varchar) as dod,
-    case when s_suppkey % 50 <> 49 then cast(100.0 as double) + s_suppkey % 5 end as max_cap,
-    test, 'MAKE' || cast(s_nationkey % 3 as varchar) as make, cast(s_suppkey % 2 as varchar) as batch
-  from supplier cross join {values_sql(list(tests) or None)}, unnest(range(n + 1)) as r(k)
-)"""
+def telemetry(*tests: str) -> str:
+    """CTE ``raw`` still to be filled in: samples of ``tests``, or of all; see ``filled``."""
+    return f"raw as (select * from telemetry_of('{','.join(tests)}'))"
+
+
+def filled(sql: str, source: Callable[..., str]) -> str:
+    """SQL whose telemetry comes from ``source(*tests)``, the text of a CTE ``raw``."""
+    return re.sub(r"raw as \(select \* from telemetry_of\('([^']*)'\)\)", lambda m: source(*filter(None, m[1].split(","))), sql)
 
 
 EVENTS = """
@@ -50,28 +41,60 @@ raw as (
   from events
 )"""
 
-def lineitem(test: str) -> str:
-    """CTE ``raw``: orders as steps, their lines as samples."""
-    width = {"HPPC": 1000, "DCIR": 400, "PeakPower": 600, "GITT": 30000}.get(test, 60000)
-    step = "o_orderkey % 12" if test == "OCVSOC" else "o_orderkey"
+def lineitem(*tests: str) -> str:
+    """CTE ``raw``: orders as steps, their lines as samples, of each of the tests."""
+    width = "case test when 'HPPC' then 1000 when 'DCIR' then 400 when 'PeakPower' then 600 when 'GITT' then 30000 else 60000 end"
     sign = "case o_orderkey % 4 when 1 then cast(0 as double) when 2 then cast(1 as double) else cast(-1 as double) end"
     return f"""
 raw as (
   select lpad(cast(o_custkey // 15 as varchar), 8, '0') as cell_no, cast(o_orderkey % 5 as integer) as cycle_no,
-    case when (o_custkey // 15) % 4 <> 0 then cast({step} as integer) end as cycler_step_no,
+    case when (o_custkey // 15) % 4 <> 0 then cast(case when test = 'OCVSOC' then o_orderkey % 12 else o_orderkey end as integer) end as cycler_step_no,
     case o_orderkey % 4 when 0 then 'CC_DChg' when 1 then 'Rest' when 2 then 'CC_Chg' else 'CP_DChg' end as step_name,
     make_timestamp((o_orderkey * 16000000 + cast(l_quantity as bigint) * case when o_orderkey % 4 = 1 then 300000 else {width} end
       + l_linenumber) * 1000) as absolute_time,
     cast(3 as double) + l_quantity / cast(100 as double) + l_extendedprice * cast(1.2345678e-7 as double) as volt_v,
     {sign} * (cast(1 as double) + round(l_discount * cast(100 as double))) as current_a,
     {sign} * l_quantity / cast(50 as double) * cast(4.5 as double) as capacity_ah,
-    cast(null as varchar) as crate, cast(null as varchar) as drate, cast(null as varchar) as dod,
-    case when (o_custkey // 15) % 10 <> 9 then cast(5 as double) end as max_cap, '{test}' as test,
+    case l_returnflag when 'R' then l_linenumber || '.25C' when 'A' then 'C/n' end as crate,
+    case when l_returnflag <> 'A' then '0.' || l_linenumber || 'D' end as drate, cast(null as varchar) as dod,
+    case when (o_custkey // 15) % 10 <> 9 then cast(5 as double) end as max_cap, test,
     'MAKE' || cast((o_custkey // 15) % 4 as varchar) as make, cast((o_custkey // 15) % 2 as varchar) as batch
-  from orders join lineitem on o_orderkey = l_orderkey
+  from orders join lineitem on o_orderkey = l_orderkey, unnest([{", ".join(f"'{t}'" for t in tests)}]) as t(test)
 )"""
 
 
+#: CTE ``raw``: order keys as time; blocks of 256 keys are pulses and rests in turn, and a cell is sixteen of them.
+RELAXING = """
+raw as (
+  select 'R' || lpad(cast(l_orderkey // 4096 as varchar), 7, '0') as cell_no, cast(l_orderkey % 4096 // 256 as integer) as cycle_no,
+    cast(null as integer) as cycler_step_no, case when pulse then 'CC_DChg' else 'Rest' end as step_name,
+    make_timestamp(((l_orderkey // 256) * 20000000 + ms) * 1000) as absolute_time,
+    round(case when pulse then cast(3.1 as double) - ms * cast(5e-8 as double)
+      else cast(3.2 as double) + a * (1 - exp(-(ms / cast(1000 as double)) / tau)) end + l_discount * cast(1e-4 as double), 6) as volt_v,
+    case when pulse then -(cast(2 as double) + l_orderkey // 4096 % 3) else cast(0 as double) end as current_a,
+    case when pulse then -(cast(2 as double) + l_orderkey // 4096 % 3) else cast(0 as double) end * ms / cast(3600000 as double) as capacity_ah,
+    cast(null as varchar) as crate, cast(null as varchar) as drate, cast(null as varchar) as dod, cast(5 as double) as max_cap,
+    'GITT' as test, 'MAKE9' as make, '0' as batch
+  from (select *, l_orderkey // 256 % 2 = 0 as pulse, cast(0.05 as double) + cast(0.01 as double) * (l_orderkey // 4096 % 10) as a,
+      cast(150 as double) + 250 * (l_orderkey // 256 % 8) as tau,
+      case when l_orderkey // 256 % 2 = 0 then l_orderkey % 256 * 4000 + l_linenumber * 500
+        else (l_orderkey % 256 * 8 + l_linenumber) * (l_orderkey % 256 * 8 + l_linenumber) * 3 end as ms
+    from lineitem)
+)"""
+
+OTHER_TESTS = ["HPPC", "OCVSOC", "DCIR", "RateCapability", "SelfDischarge", "PeakPower", "ConstantPower", "RPT", "Longterm"]
+
+
+def all_of(*tests: str) -> str:
+    """CTE ``raw``: order lines as samples, relaxations for GITT; all protocols if none is named."""
+    if tests == ("GITT",):
+        return RELAXING
+    if tests:
+        return lineitem(*tests)
+    lines, rests = lineitem(*OTHER_TESTS).strip(), RELAXING.strip()
+    return f"raw as (with {lines.replace('raw as', 'lines as', 1)}, {rests.replace('raw as', 'rests as', 1)} select * from lines union all select * from rests)"
+
+
 # steps in time order: runs of equal (cycle, name)
 ISLANDS = f"""
 flagged as (

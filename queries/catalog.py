@@ -1,8 +1,8 @@
 """The queries over the given tables, by name.
 
 Three telemetry sources are derived from the tables. Orders are steps of the cells of fifteen customers and
-their lines are samples (``*_lineitem``); every user of ``events`` is a cell and every event a sample; and every
-supplier is a cell that runs the reference programs in ``protocols``.
+their lines are samples; order keys are the time of cells that are pulsed and rest in turn; and every user of
+``events`` is a cell and every event a sample.
 Doubles are rounded for comparison here, and only here.
 """
 
@@ -25,7 +25,6 @@ from cellspark.operators.rate import extract_rate_capability
 from cellspark.operators.self_discharge import extract_self_discharge
 from cellspark.operators.soc import soc_at_step_start
 from cellspark.plans import select, upsert, wide
-from queries.protocols import run_fleet
 from cellspark.schemas import CELL_KEYS
 from cellspark.sources import ingest, tables
 
@@ -49,11 +48,6 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     )
 
 
-def fleet(spark: SparkSession, sf_dir: str, *tests: str) -> DataFrame:
-    cells = spark.read.parquet(f"{sf_dir}/supplier.parquet")
-    return run_fleet(cells, "s_suppkey", "s_nationkey", "s_acctbal", list(tests) or None)
-
-
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind, user, value = F.col("event_type"), F.col("user_id"), F.col("value")
     step = F.coalesce(*[F.when(kind == k, v) for k, v in EVENT_STEPS.items()])
@@ -81,23 +75,27 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: Milliseconds between two samples whose quantities differ by one, in steps that are no rest.
 LINE_MS = {"HPPC": 1_000, "DCIR": 400, "PeakPower": 600, "GITT": 30_000}
 OTHER_LINE_MS, REST_LINE_MS, ORDER_MS = 60_000, 300_000, 16_000_000
+OTHER_TESTS = ("HPPC", "OCVSOC", "DCIR", "RateCapability", "SelfDischarge", "PeakPower", "ConstantPower", "RPT", "Longterm")
 ORDER_STEPS = ("CC_DChg", "Rest", "CC_Chg", "CP_DChg")
 
 
-def lineitem(spark: SparkSession, sf_dir: str, test: str) -> DataFrame:
-    """Samples of one protocol: an order is a step, and a line a sample of it.
+def lineitem(spark: SparkSession, sf_dir: str, *tests: str) -> DataFrame:
+    """Samples of some protocols: an order is a step, and a line a sample of it in each of them.
 
     Quantity gives time, voltage and charge, the discount gives current. A quarter of the cells has no step
     numbers and a tenth no capacity. Open-circuit steps are twelfths of a cell's orders, which are long enough.
     """
-    key, cell = F.col("o_orderkey"), F.floor(F.col("o_custkey") / 15)
-    step = key % 12 if test == "OCVSOC" else key
+    key, cell, test, flag = F.col("o_orderkey"), F.floor(F.col("o_custkey") / 15), F.col("test"), F.col("l_returnflag")
+    step = F.when(test == "OCVSOC", key % 12).otherwise(key)
     name = F.element_at(F.array(*map(F.lit, ORDER_STEPS)), (key % 4 + 1).cast("int"))
     sign = F.when(name == "Rest", 0.0).when(name == "CC_Chg", 1.0).otherwise(-1.0)
-    width = F.when(name == "Rest", REST_LINE_MS).otherwise(LINE_MS.get(test, OTHER_LINE_MS))
-    none = F.lit(None).cast("string")
+    width = F.when(name == "Rest", REST_LINE_MS)
+    for t in tests:
+        width = width.when(test == t, LINE_MS.get(t, OTHER_LINE_MS))
+    number = F.col("l_linenumber").cast("string")
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    return spark.read.parquet(f"{sf_dir}/orders.parquet").join(lines, key == F.col("l_orderkey")).select(
+    held = spark.read.parquet(f"{sf_dir}/orders.parquet").join(lines, key == F.col("l_orderkey"))
+    return held.withColumn("test", F.explode(F.array(*map(F.lit, tests)))).select(
         F.lpad(cell.cast("string"), 8, "0").alias("cell_no"),
         (key % 5).cast("int").alias("cycle_no"),
         F.when(cell % 4 != 0, step.cast("int")).alias("cycler_step_no"),
@@ -106,21 +104,49 @@ def lineitem(spark: SparkSession, sf_dir: str, test: str) -> DataFrame:
         (F.lit(3.0) + F.col("l_quantity") / 100 + F.col("l_extendedprice") * 1.2345678e-7).alias("volt_v"),
         (sign * (F.lit(1.0) + F.rint(F.col("l_discount") * 100))).alias("current_a"),
         (sign * F.col("l_quantity") / 50 * 4.5).alias("capacity_ah"),
-        none.alias("crate"), none.alias("drate"), none.alias("dod"),
+        F.when(flag == "R", F.concat(number, F.lit(".25C"))).when(flag == "A", "C/n").alias("crate"),
+        F.when(flag != "A", F.concat(F.lit("0."), number, F.lit("D"))).alias("drate"),
+        F.lit(None).cast("string").alias("dod"),
         F.when(cell % 10 != 9, 5.0).alias("max_cap"),
-        F.lit(test).alias("test"),
+        test,
         F.concat(F.lit("MAKE"), (cell % 4).cast("string")).alias("make"),
         (cell % 2).cast("string").alias("batch"),
     )
 
 
-def keyed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return segment.with_keys(events(spark, sf_dir))
+def relaxing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Samples of GITT: order keys are time; blocks of 256 keys are pulses and rests in turn, sixteen a cell.
 
+    A line is a sample. A rest's voltage relaxes, with an amplitude of the cell and a time constant of the block, and
+    the discount is its noise.
+    """
+    key, line = F.col("l_orderkey"), F.col("l_linenumber")
+    cell, block = F.floor(key / 4096), F.floor(key / 256)
+    pulse = block % 2 == 0
+    place = key % 256 * 8 + line
+    ms = F.when(pulse, key % 256 * 4000 + line * 500).otherwise(place * place * 3)
+    current = F.when(pulse, -(F.lit(2.0) + cell % 3)).otherwise(0.0)
+    rest = F.lit(3.2) + (F.lit(0.05) + F.lit(0.01) * (cell % 10)) * (1 - F.exp(-(ms / 1000.0) / (F.lit(150.0) + block % 8 * 250)))
+    none = F.lit(None).cast("string")
+    return spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+        F.concat(F.lit("R"), F.lpad(cell.cast("string"), 7, "0")).alias("cell_no"),
+        (block % 16).cast("int").alias("cycle_no"),
+        F.lit(None).cast("int").alias("cycler_step_no"),
+        F.when(pulse, "CC_DChg").otherwise("Rest").alias("step_name"),
+        F.timestamp_millis(block * 20_000_000 + ms).alias("absolute_time"),
+        F.round(F.when(pulse, F.lit(3.1) - ms * 5e-8).otherwise(rest) + F.col("l_discount") * 1e-4, 6).alias("volt_v"),
+        current.alias("current_a"),
+        (current * ms / 3600000.0).alias("capacity_ah"),
+        none.alias("crate"), none.alias("drate"), none.alias("dod"),
+        F.lit(5.0).alias("max_cap"),
+        F.lit("GITT").alias("test"),
+        F.lit("MAKE9").alias("make"),
+        F.lit("0").alias("batch"),
+    )
 
-@query
-def cycle_agg(spark, sf_dir):
-    return rounded(cycles.aggregate_per_cycle(fleet(spark, sf_dir, "RPT", "Longterm")), 9)
+
+def keyed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segment.with_keys(events(spark, sf_dir))
 
 
 @query
@@ -128,70 +154,6 @@ def cycle_agg_events(spark, sf_dir):
     return rounded(cycles.aggregate_per_cycle(events(spark, sf_dir)), 9)
 
 
-@query
-def state_of_health(spark, sf_dir):
-    return rounded(cycles.state_of_health(cycles.rpt_capacity(fleet(spark, sf_dir, "RPT"))))
-
-
-@query
-def rpt_c_rate(spark, sf_dir):
-    return rounded(cycles.rpt_c_rate(fleet(spark, sf_dir, "RPT")))
-
-
-@query
-def rate_capability(spark, sf_dir):
-    return rounded(extract_rate_capability(fleet(spark, sf_dir, "RateCapability")))
-
-
-@query
-def rate_capability_strict(spark, sf_dir):
-    return rounded(extract_rate_capability(fleet(spark, sf_dir, "RateCapability"), strict_direction=True))
-
-
-@query
-def self_discharge(spark, sf_dir):
-    return rounded(extract_self_discharge(fleet(spark, sf_dir, "SelfDischarge")))
-
-
-@query
-def constant_power(spark, sf_dir):
-    return rounded(extract_constant_power(fleet(spark, sf_dir, "ConstantPower")))
-
-
-@query
-def ocv_curves(spark, sf_dir):
-    return rounded(extract_ocv_curves(fleet(spark, sf_dir, "OCVSOC")))
-
-
-@query
-def peak_power(spark, sf_dir):
-    return rounded(extract_peak_power(fleet(spark, sf_dir, "PeakPower")))
-
-
-@query
-def hppc_pulses(spark, sf_dir):
-    pulses = rounded(detect_hppc_pulses(fleet(spark, sf_dir, "HPPC")))
-    return pulses.withColumns({c: F.round(c, 2) for c in ("C1_F", "C2_F")})
-
-
-@query
-def dcir_anchors(spark, sf_dir):
-    return rounded(extract_dcir_anchors(fleet(spark, sf_dir, "DCIR")))
-
-
-@query
-def gitt_pulses(spark, sf_dir):
-    return rounded(extract_gitt_pulses(fleet(spark, sf_dir, "GITT"), fit=False))
-
-
-@query
-def gitt_relaxation(spark, sf_dir):
-    fitted = extract_gitt_pulses(fleet(spark, sf_dir, "GITT"))
-    return fitted.select(
-        *CELL_KEYS, "pulse_idx", F.round("tau_diff_s", 2).alias("tau_diff_s"), F.round("v_inf_v", 6).alias("v_inf_v")
-    )
-
-
 def naive(df: DataFrame) -> DataFrame:
     """Timestamps without a zone, as the comparison engine has them."""
     return df.select(
@@ -245,12 +207,6 @@ def step_neighbours_events(spark, sf_dir):
     )
 
 
-@query
-def steps_by_number(spark, sf_dir):
-    steps = segment.numbered_steps(segment.number_rows(segment.select_test(fleet(spark, sf_dir, "HPPC"), "HPPC")))
-    return naive(rounded(segment.restore_keys(steps).withColumnRenamed("_step_no", "step_no")))
-
-
 @query
 def soc_at_step_start_events(spark, sf_dir):
     steps = segment.island_steps(segment.label_islands(keyed_events(spark, sf_dir)))
@@ -335,20 +291,35 @@ def text_of(array: str, scale: float = 1e6):
 COARSE_ARRAYS = ("c1_dchg_curve", "c2_dchg_curve", "tau_diff_curve")
 
 
-@query
-def wide_cells(spark, sf_dir):
-    """The wide row of every cell, with its cross-test columns."""
-    raw = fleet(spark, sf_dir)
+def wide_rows(raw: DataFrame) -> DataFrame:
+    """The wide row of every cell, with its cross-test columns, in a form that any engine can reproduce."""
     full = wide.with_dsoc_per_day(wide.build_wide(ingest.only_tests(raw)))
-    texts = {
-        n: text_of(n, 1e1 if n in COARSE_ARRAYS else 1e6) for n, t in full.dtypes if t.startswith("array")
-    }
+    texts = {n: text_of(n, 1e1 if n in COARSE_ARRAYS else 1e6) for n, t in full.dtypes if t.startswith("array")}
     return naive(rounded(full.withColumns(texts)))
 
 
 @query
-def dsoc_per_day(spark, sf_dir):
-    raw = fleet(spark, sf_dir, "OCVSOC", "SelfDischarge")
+def wide_cells_lineitem(spark, sf_dir):
+    """The wide row of every cell, over all protocols."""
+    return wide_rows(lineitem(spark, sf_dir, *OTHER_TESTS).unionByName(relaxing(spark, sf_dir)))
+
+
+@query
+def rpt_c_rate_lineitem(spark, sf_dir):
+    return rounded(cycles.rpt_c_rate(lineitem(spark, sf_dir, "RPT")))
+
+
+@query
+def gitt_relaxation_lineitem(spark, sf_dir):
+    fitted = extract_gitt_pulses(relaxing(spark, sf_dir))
+    return fitted.select(
+        *CELL_KEYS, "pulse_idx", F.round("tau_diff_s", 2).alias("tau_diff_s"), F.round("v_inf_v", 6).alias("v_inf_v")
+    )
+
+
+@query
+def dsoc_per_day_lineitem(spark, sf_dir):
+    raw = lineitem(spark, sf_dir, "OCVSOC", "SelfDischarge")
     row = wide.assemble(
         wide.sessions(raw),
         [wide.ocv_arrays(extract_ocv_curves(raw)), wide.self_discharge_columns(extract_self_discharge(raw))],
@@ -438,23 +409,6 @@ def capacity_results(raw: DataFrame) -> DataFrame:
     return tables.result_rows(wide.assemble(wide.sessions(raw), [cycles.rpt_capacity(raw)]))
 
 
-@query
-def result_upsert_lineitem(spark, sf_dir):
-    """Later cycles of every other cell merged into the result rows of the earlier cycles."""
-    raw = lineitem(spark, sf_dir, "RPT")
-    new, old = capacity_results(raw.where("cycle_no >= 3 and batch = '0'")), capacity_results(raw.where("cycle_no < 3"))
-    merged = upsert.merge_results(new, old)
-    return naive(rounded(merged.select("make", "max_cap", "cell", "batch", "Soh", "q_rpt_ah", "q_rpt_chg_ah", "test_session_start", "test_session_end")))
-
-
-@query
-def existing_results_lineitem(spark, sf_dir):
-    """The stored rows that the later cycles of every other cell would replace."""
-    raw = lineitem(spark, sf_dir, "RPT")
-    new, old = capacity_results(raw.where("cycle_no >= 3 and batch = '0'")), capacity_results(raw.where("cycle_no < 3"))
-    return naive(rounded(upsert.existing_rows(old, new).select("make", "max_cap", "cell", "batch", "q_rpt_ah", "test_session_end")))
-
-
 def halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Result rows of the later and of the earlier cycles of every cell."""
     raw = lineitem(spark, sf_dir, "RPT")

@@ -55,15 +55,15 @@ def oracle_rows(sql: str, sf_dir: str):
     return cur.fetchall(), [d[0] for d in cur.description]
 
 
-def compare(spark, name: str, sf_dir: str):
-    """(equal, message) for one query."""
+def compare(spark, name: str, sf_dir: str, queries: dict | None = None, sqls: dict | None = None):
+    """(equal, message) for one query, a registered one by default."""
     import __spark_entry__ as entry
 
     start = time.time()
-    df = entry.queries()[name](spark, sf_dir)
+    df = (queries or entry.queries())[name](spark, sf_dir)
     got = df.collect()
     spent = time.time() - start
-    sql = entry.oracle_sql().get(name)
+    sql = (sqls or entry.oracle_sql()).get(name)
     if sql is None:
         return True, f"{len(got)} rows, no oracle, {spent:.1f}s"
     start = time.time()

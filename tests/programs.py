@@ -1,0 +1,146 @@
+"""The protocol queries over a fleet that runs the programs of ``tests.protocols``, and their SQL."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from cellspark.operators import cycles, segment
+from cellspark.operators.dcir import extract_dcir_anchors
+from cellspark.operators.gitt import extract_gitt_pulses
+from cellspark.operators.hppc import detect_hppc_pulses
+from cellspark.operators.ocv import extract_ocv_curves
+from cellspark.operators.power import extract_constant_power, extract_peak_power
+from cellspark.operators.rate import extract_rate_capability
+from cellspark.operators.self_discharge import extract_self_discharge
+from cellspark.plans import wide
+from cellspark.schemas import CELL_KEYS
+from oracle.queries import TEMPLATES
+from oracle.raw import filled
+from queries.catalog import naive, rounded, wide_rows
+from tests.protocols import run_fleet, values_sql
+
+PROGRAMS = {}
+
+
+def query(fn):
+    PROGRAMS[fn.__name__] = fn
+    return fn
+
+
+def fleet(spark: SparkSession, sf_dir: str, *tests: str) -> DataFrame:
+    cells = spark.read.parquet(f"{sf_dir}/supplier.parquet")
+    return run_fleet(cells, "s_suppkey", "s_nationkey", "s_acctbal", list(tests) or None)
+
+
+@query
+def cycle_agg(spark, sf_dir):
+    return rounded(cycles.aggregate_per_cycle(fleet(spark, sf_dir, "RPT", "Longterm")), 9)
+
+
+@query
+def state_of_health(spark, sf_dir):
+    return rounded(cycles.state_of_health(cycles.rpt_capacity(fleet(spark, sf_dir, "RPT"))))
+
+
+@query
+def rpt_c_rate(spark, sf_dir):
+    return rounded(cycles.rpt_c_rate(fleet(spark, sf_dir, "RPT")))
+
+
+@query
+def rate_capability(spark, sf_dir):
+    return rounded(extract_rate_capability(fleet(spark, sf_dir, "RateCapability")))
+
+
+@query
+def rate_capability_strict(spark, sf_dir):
+    return rounded(extract_rate_capability(fleet(spark, sf_dir, "RateCapability"), strict_direction=True))
+
+
+@query
+def self_discharge(spark, sf_dir):
+    return rounded(extract_self_discharge(fleet(spark, sf_dir, "SelfDischarge")))
+
+
+@query
+def constant_power(spark, sf_dir):
+    return rounded(extract_constant_power(fleet(spark, sf_dir, "ConstantPower")))
+
+
+@query
+def ocv_curves(spark, sf_dir):
+    return rounded(extract_ocv_curves(fleet(spark, sf_dir, "OCVSOC")))
+
+
+@query
+def peak_power(spark, sf_dir):
+    return rounded(extract_peak_power(fleet(spark, sf_dir, "PeakPower")))
+
+
+@query
+def hppc_pulses(spark, sf_dir):
+    pulses = rounded(detect_hppc_pulses(fleet(spark, sf_dir, "HPPC")))
+    return pulses.withColumns({c: F.round(c, 2) for c in ("C1_F", "C2_F")})
+
+
+@query
+def dcir_anchors(spark, sf_dir):
+    return rounded(extract_dcir_anchors(fleet(spark, sf_dir, "DCIR")))
+
+
+@query
+def gitt_pulses(spark, sf_dir):
+    return rounded(extract_gitt_pulses(fleet(spark, sf_dir, "GITT"), fit=False))
+
+
+@query
+def gitt_relaxation(spark, sf_dir):
+    fitted = extract_gitt_pulses(fleet(spark, sf_dir, "GITT"))
+    return fitted.select(
+        *CELL_KEYS, "pulse_idx", F.round("tau_diff_s", 2).alias("tau_diff_s"), F.round("v_inf_v", 6).alias("v_inf_v")
+    )
+
+
+@query
+def steps_by_number(spark, sf_dir):
+    steps = segment.numbered_steps(segment.number_rows(segment.select_test(fleet(spark, sf_dir, "HPPC"), "HPPC")))
+    return naive(rounded(segment.restore_keys(steps).withColumnRenamed("_step_no", "step_no")))
+
+
+@query
+def wide_cells(spark, sf_dir):
+    return wide_rows(fleet(spark, sf_dir))
+
+
+@query
+def dsoc_per_day(spark, sf_dir):
+    raw = fleet(spark, sf_dir, "OCVSOC", "SelfDischarge")
+    row = wide.assemble(
+        wide.sessions(raw),
+        [wide.ocv_arrays(extract_ocv_curves(raw)), wide.self_discharge_columns(extract_self_discharge(raw))],
+    )
+    return rounded(wide.with_dsoc_per_day(row).select(*CELL_KEYS, "self_disch_dsoc_per_day"))
+
+
+def fleet_sql(*tests: str) -> str:
+    """CTE ``raw``: every supplier as a cell running the programs of ``tests``."""
+    return f"""
+raw as (
+  select lpad(cast(s_suppkey as varchar), 8, '0') as cell_no, cast(cycle_no as integer) as cycle_no,
+    case when s_suppkey % 4 <> 0 then cast(step_no as integer) end as cycler_step_no, step_name,
+    make_timestamp((start_ms + k * dt_ms + s_suppkey * 10) * 1000) as absolute_time,
+    case when k <> null_at then round(v0 + a * (1.0 - exp(-(k * dt_ms / cast(1000.0 as double)) / tau))
+      + s_acctbal * cast(1.2345678e-6 as double)
+      + noise * sin(k * cast(1.7 as double) + s_suppkey), 6) end as volt_v,
+    i_c * (cast(100.0 as double) + s_suppkey % 5) * (1.0 + s_nationkey * cast(0.001 as double)) as current_a,
+    (cast(100.0 as double) + s_suppkey % 5) * (c0 + i_c * (k * dt_ms / cast(1000.0 as double)) / cast(3600.0 as double))
+      as capacity_ah,
+    crate, drate, cast(null as varchar) as dod,
+    case when s_suppkey % 50 <> 49 then cast(100.0 as double) + s_suppkey % 5 end as max_cap,
+    test, 'MAKE' || cast(s_nationkey % 3 as varchar) as make, cast(s_suppkey % 2 as varchar) as batch
+  from supplier cross join {values_sql(list(tests) or None)}, unnest(range(n + 1)) as r(k)
+)"""
+
+
+SQL = {name: filled(sql, fleet_sql) for name, sql in TEMPLATES.items()}

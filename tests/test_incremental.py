@@ -6,6 +6,8 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from cellspark.operators.ocv import extract_ocv_curves
+from cellspark.operators.self_discharge import extract_self_discharge
 from cellspark.plans import jobs, wide
 from cellspark.plans.incremental import run_incremental
 from cellspark.plans.upsert import merge_results
@@ -49,8 +51,8 @@ def few_tests(monkeypatch):
         wide,
         "per_test_parts",
         lambda r: [
-            wide.ocv_arrays(wide.extract_ocv_curves(r)),
-            wide.self_discharge_columns(wide.extract_self_discharge(r)),
+            wide.ocv_arrays(extract_ocv_curves(r)),
+            wide.self_discharge_columns(extract_self_discharge(r)),
             wide.cycles.rpt_capacity(r),
             wide.cycles.rpt_c_rate(r),
         ],
@@ -216,7 +218,7 @@ def test_table_gains_missing_columns(spark, tmp_path):
 
 def test_drift_without_a_curve_and_conflicting_capacities(spark):
     data = raw(spark, _rest(), Cell("OCVSOC", cell="1", max_cap=99.0).step("CC_DChg", 60, 25, -1.0))
-    parts = [wide.ocv_arrays(wide.extract_ocv_curves(data)), wide.self_discharge_columns(wide.extract_self_discharge(data))]
+    parts = [wide.ocv_arrays(extract_ocv_curves(data)), wide.self_discharge_columns(extract_self_discharge(data))]
     rows = wide.assemble(wide.sessions(data), parts)
     got = {r["max_cap"]: r["self_disch_dsoc_per_day"] for r in wide.with_dsoc_per_day(rows).collect()}
     assert got == {99.0: None, 100.0: pytest.approx(1.0)}
