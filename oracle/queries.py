@@ -420,6 +420,10 @@ files as (
 )"""
 _G = '"Test", "Make", "Batch", "Cell"'
 ORACLES["file_inventory"] = with_(_FILES) + f"select path, {_G}, date from files"
+ORACLES["file_inventory_lake"] = """
+select distinct case user_id % 3 when 0 then 'SelfDischarge' else 'GITT' end as "Test", 'M' || user_id % 4 as "Make", cast(user_id % 2 as varchar) as "Batch",
+  'c:' || user_id % 50 as "Cell", strftime(ts, '%Y-%m-') || lpad(cast((day(ts) - 1) // 7 * 7 + 1 as varchar), 2, '0') as date, 1::bigint as n_files
+from events where user_id % 3 <> 2"""
 ORACLES["changed_group_selection"] = with_(_FILES) + f"""
 select {_G}, max(date) as last_date from files group by {_G} having max(date) > '2024-01-28'"""
 ORACLES["changed_with_dependencies"] = with_(

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellspark.functions.chunked import exact_median, neighbours
-from cellspark.functions.lineage import cut
+from cellspark.functions.lineage import cut, table_path
 from cellspark.operators import cycles, energy, segment
 from cellspark.operators.dcir import extract_dcir_anchors
 from cellspark.operators.gitt import extract_gitt_pulses
@@ -246,6 +246,21 @@ def file_inventory(spark, sf_dir):
     return ingest.inventory_of(event_files(spark, sf_dir))
 
 
+@query
+def file_inventory_lake(spark, sf_dir):
+    """A lake written from the events, a folder for each test, cell and week, and listed again by tasks."""
+    user, ts = F.col("user_id"), F.col("ts")
+    test = F.when(user % 3 == 0, "SelfDischarge").when(user % 3 == 1, "GITT").otherwise("Longterm")
+    week = F.lpad((F.floor((F.dayofmonth(ts) - 1) / 7) * 7 + 1).cast("string"), 2, "0")
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet").select(
+        test.alias("Test"), F.concat(F.lit("M"), user % 4).alias("Make"), (user % 2).cast("string").alias("Batch"), F.concat(F.lit("c:"), user % 50).alias("Cell"),
+        F.year(ts).cast("string").alias("YYYY"), F.date_format(ts, "MM").alias("MM"), week.alias("DD"), F.col("value").alias("volt(V)"),
+    )
+    lake = table_path(spark, "lake")
+    rows.repartition(*ingest.LAKE_PARTITIONS).write.partitionBy(*ingest.LAKE_PARTITIONS).parquet(lake)
+    return ingest.inventory(spark, lake).groupBy(*ingest.GROUP_PARTITIONS, "date").agg(F.count("*").alias("n_files"))
+
+
 @query
 def changed_group_selection(spark, sf_dir):
     return select.changed_groups(ingest.inventory_of(event_files(spark, sf_dir)), "2024-01-28")

@@ -3,16 +3,19 @@
 import datetime as dt
 import json
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from cellspark.operators.ocv import extract_ocv_curves
 from cellspark.operators.self_discharge import extract_self_discharge
-from cellspark.plans import jobs, wide
+from cellspark.plans import incremental, jobs, wide
 from cellspark.plans.incremental import run_incremental
+from cellspark.plans.ledger import Ledger
 from cellspark.plans.upsert import merge_results
 from cellspark.schemas import DATA_COLS, PULSE, RESULT
-from cellspark.sources import ingest, tables
+from cellspark.sources import details, folders, ingest, tables
+from cellspark.streaming import incremental as stream
 from cellspark.streaming.incremental import stream_incremental
 from tests.builders import START, Cell, collect, raw
 
@@ -124,6 +127,130 @@ def test_stream_sees_late_files(spark, tmp_path, few_tests):
     assert got == {"0001": 90.0, "0002": 80.0}
 
 
+def test_a_batch_of_the_stream_reads_its_own_folders(spark, tmp_path, few_tests, monkeypatch):
+    lake, out, mark = (str(tmp_path / n) for n in ("lake", "out", "mark"))
+    read, asked = stream.read_lake, []
+    monkeypatch.setattr(stream, "read_lake", lambda s, base, schema=None, folders=None: (asked.append(folders), read(s, base, schema, folders))[1])
+    for cell in (_ocv(), _rest(), _rpt("2")):
+        _land(spark, lake, cell, "2024-01-05")
+    stream_incremental(spark, lake, out, mark, table="streamed").awaitTermination()
+    _land(spark, lake, _rest(drop=0.1, start_s=3e6), "2024-01-02")  # late, and its partner is not in the batch
+    rows = spark.read.parquet(f"{lake}/Test=RPT/Make=eve/Batch=1/Cell=2/YYYY=2024/MM=01/DD=05").withColumns(
+        {"Test": F.lit("RPT"), "Make": F.lit("eve"), "Batch": F.lit("1"), "Cell": F.lit("C:3+% x"), "YYYY": F.lit("2024"), "MM": F.lit("01"), "DD": F.lit("06")}
+    )
+    rows.write.mode("append").partitionBy(*ingest.LAKE_PARTITIONS).parquet(lake)
+    asked.clear()
+    stream_incremental(spark, lake, out, mark, table="streamed").awaitTermination()
+    own = [f for f in asked if f is not None]
+    assert len(own) == 1 and sorted(f.split("/Test=")[1].split("/")[0] for f in own[0]) == ["OCVSOC", "RPT", "SelfDischarge"]
+    got = {r["cell"]: r for r in tables.read_results(spark, out).collect()}
+    # 0.1 V on the partner's curve, over both rests of the one step number
+    assert got["0001"]["self_disch_dsoc_per_day"] == pytest.approx(0.2 / 24.148, rel=1e-3) and got["C:3+% x"]["q_rpt_ah"] == 90.0 and len(got) == 3
+    assert spark.table("streamed").count() == 3  # registered by the stream
+    states = {(r["Test"], r["Cell"]): r["newest"] for r in stream.group_states(spark, f"{mark}_state").collect()}
+    assert states == {("OCVSOC", "1"): "2024-01-05", ("SelfDischarge", "1"): "2024-01-05", ("RPT", "2"): "2024-01-05", ("RPT", "C:3+% x"): "2024-01-06"}
+
+
+class Died(Exception):
+    pass
+
+
+@pytest.mark.parametrize("phase", ["rows", "merged", "details", "rows_written", "written", "registered"])
+def test_a_run_that_died_goes_on(spark, tmp_path, monkeypatch, phase):
+    """Stopped after each phase, and between the details and the rows that point at them."""
+    out, state, name = str(tmp_path / "out"), str(tmp_path / "state"), f"cells_{phase}"
+    tables.write_results(_result_row(spark, cell="c", Soh=1.0, q_rpt_ah=5.0), out)
+    new = _result_row(spark, cell="c", Soh=2.0, ocv_soc_grid=[0.0, 1.0], v_oc_curve=[3.0, 3.5], ocv_details_path="details/cohort=M/cell_id=c/batch=b/ocv.parquet")
+    new = new.unionByName(_result_row(spark, cell="d", Soh=3.0, ocv_details_path="details/cohort=M/cell_id=d/batch=b/ocv.parquet"))
+    computed = []
+
+    def compute():
+        computed.append(1)
+        return new
+
+    def go():
+        ledger = Ledger(spark, state, "run")
+        merged, registered = incremental.upsert(spark, ledger, compute, out, name)
+        ledger.record("done")
+        return merged, registered
+
+    with monkeypatch.context() as patch:
+        if phase in ("details", "rows_written"):
+            write = incremental.write_results
+
+            def dies(rows, path):
+                if phase == "rows_written":
+                    write(rows, path)
+                raise Died
+
+            patch.setattr(incremental, "write_results", dies)
+        else:
+            record = Ledger.record
+
+            def dies(self, at, detail=""):
+                record(self, at, detail)
+                if at == phase:
+                    raise Died
+
+            patch.setattr(Ledger, "record", dies)
+        with pytest.raises(Died):
+            go()
+    pointed = tables.read_results(spark, out).where("ocv_details_path is not null")
+    details.read_details(pointed, incremental.output_details(out)).count()  # every pointer opens, whenever it died
+    merged, registered = go()
+    rows = {r["cell"]: r for r in tables.read_results(spark, out).collect()}
+    assert len(computed) == 1 and registered == 2 and spark.table(name).count() == 2
+    assert (rows["c"]["Soh"], rows["c"]["q_rpt_ah"], rows["d"]["Soh"]) == (2.0, 5.0, 3.0)
+    found = sorted(map(tuple, details.read_details(tables.read_results(spark, out), incremental.output_details(out)).collect()))
+    assert [f[1:] for f in found] == [("dchg", 0.0, 3.0), ("dchg", 1.0, 3.5)]
+    go()  # asked for again after it was done: computed anew
+    assert len(computed) == 2
+
+
+def test_all_protocols_in_one_incremental_run(spark, tmp_path):
+    lake, out, state = (str(tmp_path / n) for n in ("lake", "out", "state"))
+    fade = lambda t: 3.4 + 0.05 * (1 - np.exp(-t / 200))
+    cells = [
+        _ocv(), _rest(), _rpt(),
+        Cell("HPPC", cell="1").step("Rest", 600, 5, volts=3.4).step("CC_DChg", 30, 31, -50.0, lambda t: 3.3 - 0.001 * t),
+        Cell("DCIR", cell="1").step("CC_DChg", 100, 101, lambda t: -60.0 if 40 <= t < 50 else -20.0, lambda t: 3.3 - 0.001 * t),
+        Cell("GITT", cell="1").step("CC_DChg", 300, 31, -10.0, 3.3).step("Rest", 900, 46, 0.0, fade),
+        Cell("RateCapability", cell="1").step("CC_DChg", 3600, 5, -90.0, cap=lambda t: -90 * t / 3600),
+        Cell("PeakPower", cell="1").step("CC_DChg", 20, 21, -100.0, 3.2),
+        Cell("ConstantPower", cell="1").step("CP_DChg", 600, 11, -10.0, 3.0),
+    ]
+    for cell in cells:
+        _land(spark, lake, cell, "2024-01-05")
+    run = run_incremental(spark, lake, out, state, table="all_protocols")
+    row = spark.table("all_protocols").first()
+    assert run.registered == 1 and (row["Soh"], row["rpt_protocol_c_rate"], row["hppc_n_pulses_dchg"], row["dcir_n_pulses"]) == (90.0, 0.5, 1.0, 1.0)
+    assert row["tau_diff_curve"] == [pytest.approx(200, rel=1e-3)] and len(row["v_oc_curve"]) == 11 and row["const_power_levels_w"] == [pytest.approx(30.0)]
+    assert row["rate_cap_q_curve"] == [pytest.approx(90.0)] and row["p_peak_10s_dchg_curve"] == [pytest.approx(320.0)]
+    assert row["self_disch_dsoc_per_day"] == pytest.approx(0.1) and row["r0_dchg_curve"][0] is not None
+    assert details.read_details(tables.read_results(spark, out), incremental.output_details(out)).count() == 11
+
+
+def test_a_lake_is_listed_by_tasks(spark, tmp_path):
+    lake = tmp_path / "lake"
+    for test in ("A", "B=x"):
+        for make in ("m", "n%20o", "_hidden"):
+            folder = lake / f"Test={test}" / (f"Make={make}" if make[0] != "_" else make) / "Batch=1"
+            folder.mkdir(parents=True)
+            for name in ("a.parquet", "b.parquet", "_SUCCESS", ".c.parquet", "d.csv"):
+                (folder / name).write_text("x")
+    (lake / "top.parquet").write_text("x")
+    (lake / "Test=A" / "in.parquet").write_text("x")
+    files = folders.list_files(spark, str(lake))
+    assert files.rdd.getNumPartitions() == 1 + 2 + 4  # the root, each test, each test and make
+    got = sorted(r["path"].split("/lake/")[1] for r in files.collect())
+    want = sorted(r["path"].split("/lake/")[1] for r in spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(str(lake)).select("path").collect())
+    assert got == want and len(got) == 10
+    assert folders.list_files(spark, str(tmp_path / "none")).count() == 0
+    assert folders.can_open("s3a://b/k") and not folders.can_open("viewfs://c/d")
+    with pytest.raises(ValueError, match="cannot open"):
+        folders.opened("wasbs://x/y")
+
+
 def _result_row(spark, **values):
     row = {**dict.fromkeys(DATA_COLS), **dict(make="M", max_cap="1.0", cell="c", batch="b"), **values}
     return spark.createDataFrame([tuple(row[c] for c in tables.RESULT_TABLE_SCHEMA.names)], tables.RESULT_TABLE_SCHEMA)
