@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from cellspark.llm import secrets, urls
 
-URLS = f"""
+URLS = """
 WITH RECURSIVE p AS (
   SELECT row_number() OVER () AS rid, page_id, html,
-    translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), '{urls.UPPER}', '{urls.LOWER}') AS host,
+    translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
     coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
   FROM pages),
-rules(verdict, h, pre) AS (VALUES {", ".join(str(r) for r in urls.RULES)}),
+rules(verdict, h, pre) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
 fit AS (
   SELECT rid, arg_max(r.verdict, length(h || pre)) AS verdict, arg_max(h || pre, length(h || pre)) AS rule
   FROM p JOIN rules r ON (p.host = h OR ends_with(p.host, '.' || h)) AND starts_with(p.path, pre) GROUP BY rid),
@@ -20,28 +20,33 @@ seeds AS (
   FROM judged WHERE host <> '' GROUP BY host),
 hosts AS (SELECT DISTINCT host FROM p WHERE host <> ''),
 linked AS (
-  SELECT DISTINCT rid, host AS src, translate(regexp_extract(u, '//([^/?#]*)', 1), '{urls.UPPER}', '{urls.LOWER}') AS dst
+  SELECT DISTINCT rid, host AS src, translate(regexp_extract(u, '//([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS dst
   FROM (SELECT rid, host, unnest(regexp_extract_all(html, '(?i)<a\\s[^>]*?href\\s*=\\s*["'']?\\s*((?:https?:)?//[^"''\\s>]+)', 1)) AS u FROM p)),
-above AS (SELECT a.host AS child, b.host AS parent FROM hosts a JOIN hosts b ON regexp_extract(a.host, '^[^.]+\\.(.+)$', 1) = b.host),
+named AS (SELECT string_split(host, '.') AS l FROM hosts WHERE NOT regexp_matches(host, '^[0-9.]+(:[0-9]*)?$')),
+chained AS (SELECT DISTINCT array_to_string(l[i:], '.') AS child, array_to_string(l[i + 1:], '.') AS parent FROM (SELECT l, unnest(range(1, len(l) - 1)) AS i FROM named WHERE len(l) > 2)),
+above AS (
+  SELECT child, parent FROM chained WHERE parent NOT IN (
+    'ac.uk', 'co.uk', 'gov.uk', 'org.uk', 'com.au', 'net.au', 'org.au', 'co.nz', 'co.za', 'co.in', 'co.jp', 'ne.jp', 'or.jp', 'co.kr',
+    'com.br', 'com.cn', 'com.mx', 'com.tr', 'com.tw')),
 edges AS (
   SELECT src, dst, sum(n) AS n FROM (
     SELECT src, dst, count(*) AS n FROM linked WHERE src <> dst AND src <> '' AND dst <> '' GROUP BY src, dst
     UNION ALL SELECT child, parent, 1 FROM above UNION ALL SELECT parent, child, 1 FROM above) GROUP BY src, dst),
 ways AS (
-  SELECT 0 AS kind, src AS a, dst AS b, {urls.DAMPING}::DOUBLE * n / sum(n) OVER (PARTITION BY src) AS w FROM edges
-  UNION ALL SELECT 1, dst, src, {urls.DAMPING}::DOUBLE * n / sum(n) OVER (PARTITION BY dst) FROM edges
-  UNION ALL SELECT 0, '*', host, (1 - {urls.DAMPING}::DOUBLE) * t FROM seeds UNION ALL SELECT 1, '*', host, (1 - {urls.DAMPING}::DOUBLE) * d FROM seeds
+  SELECT 0 AS kind, src AS a, dst AS b, 0.85::DOUBLE * n / sum(n) OVER (PARTITION BY src) AS w FROM edges
+  UNION ALL SELECT 1, dst, src, 0.85::DOUBLE * n / sum(n) OVER (PARTITION BY dst) FROM edges
+  UNION ALL SELECT 0, '*', host, (1 - 0.85::DOUBLE) * t FROM seeds UNION ALL SELECT 1, '*', host, (1 - 0.85::DOUBLE) * d FROM seeds
   UNION ALL SELECT 0, '*', '*', 1 UNION ALL SELECT 1, '*', '*', 1),
 walk(step, kind, host, score) AS (
   SELECT 0, kind, b, w FROM ways WHERE a = '*'
   UNION ALL
-  SELECT step + 1, kind, b, sum(score * w) FROM (SELECT walk.step, ways.kind, ways.b, walk.score, ways.w FROM walk JOIN ways ON walk.kind = ways.kind AND walk.host = ways.a WHERE step < {urls.ROUNDS})
+  SELECT step + 1, kind, b, sum(score * w) FROM (SELECT walk.step, ways.kind, ways.b, walk.score, ways.w FROM walk JOIN ways ON walk.kind = ways.kind AND walk.host = ways.a WHERE step < 250)
   GROUP BY step, kind, b),
 scores AS (
   SELECT host, round(sum(CASE WHEN kind = 0 THEN score ELSE 0 END), 9) AS trust, round(sum(CASE WHEN kind = 1 THEN score ELSE 0 END), 9) AS distrust
-  FROM walk WHERE step = {urls.ROUNDS} AND host <> '*' GROUP BY host)
+  FROM walk WHERE step = 250 AND host <> '*' GROUP BY host)
 SELECT page_id, judged.host, path, rule, coalesce(trust, 0) AS trust, coalesce(distrust, 0) AS distrust,
-  coalesce(said, CASE WHEN coalesce(distrust, 0) >= {urls.THRESHOLD} AND distrust > coalesce(trust, 0) THEN 'block' ELSE 'allow' END) AS verdict
+  coalesce(said, CASE WHEN coalesce(distrust, 0) >= 0.01 AND distrust > coalesce(trust, 0) THEN 'block' ELSE 'allow' END) AS verdict
 FROM judged LEFT JOIN scores ON judged.host = scores.host
 """
 

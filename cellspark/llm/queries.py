@@ -30,7 +30,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 @query(oracles.URLS)
 def op1_url_filter(spark, sf_dir):
-    return urls.judge(table(spark, sf_dir, "pages"))
+    return urls.judge(table(spark, sf_dir, "pages"), domains=True)
 
 
 @query(oracles.SECRETS)

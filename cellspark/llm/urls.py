@@ -6,7 +6,8 @@ the registered domain, whether or not those have pages, so that their other host
 trusted, or blocked, by the share of its pages that a rule allows, or blocks; hosts may also be named.
 Trust spreads along edges as a personalised PageRank, distrust against them; as seeds are not normalised,
 scores do not depend on the number of hosts. A host is blocked if its distrust reaches the threshold and
-exceeds its trust. Only hosts and edges between hosts are joined in the iterations; pages meet the scores once.
+exceeds its trust. Only hosts and edges between hosts are joined in the iterations; pages meet the scores once. The edges of a host with
+more than ``HUB_EDGES`` are dealt to several keys, to each of which its score is sent.
 """
 
 from __future__ import annotations
@@ -27,10 +28,15 @@ RULES = (
     ("block", "com", "/de/"),
 )
 DAMPING = 0.85
-#: Steps of the oracle's SQL, a fixed number. ``propagate`` goes on until what is left is below ``PRECISION``.
-ROUNDS = 12
-PRECISION, MOST_ROUNDS, STORE_EVERY = 1e-10, 1000, 4
+#: ``propagate`` goes on until what is left is below ``PRECISION``, far below the nine digits of the scores.
+PRECISION, MOST_ROUNDS, STORE_EVERY = 1e-13, 1000, 8
+HUB_EDGES = 100_000
 THRESHOLD = 0.01
+#: Suffixes of two labels under which domains of different owners are registered.
+SUFFIXES = (
+    "ac.uk", "co.uk", "gov.uk", "org.uk", "com.au", "net.au", "org.au", "co.nz", "co.za", "co.in", "co.jp", "ne.jp", "or.jp", "co.kr",
+    "com.br", "com.cn", "com.mx", "com.tr", "com.tw",
+)
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -79,32 +85,34 @@ def host_edges(pages: DataFrame, html: str, parents: bool, domains: bool = False
     return edges
 
 
-def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, most: int = MOST_ROUNDS) -> DataFrame:
+def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, most: int = MOST_ROUNDS, hub: int = HUB_EDGES) -> DataFrame:
     """(host, trust, distrust) of hosts with any score, from seeds (host, trust, distrust) and edges (src, dst, n).
 
     Trust is shared among a host's outgoing edges, distrust among its incoming ones, by their weights; what
     reaches a host without a way on ends there. What a round adds in all (``fresh``) is at most ``damping`` times
     what the round before added, so all later rounds together add at most fresh * damping / (1 - damping) to all
-    scores; rounds end when that is below ``PRECISION``. ``most`` rounds without that raise an error.
+    scores; rounds end when that is below ``PRECISION``. ``most`` rounds without that raise an error. ``parts`` is
+    the number of keys that a host's edges are dealt to, at most ``hub`` or so to each; null without edges.
     """
-    out = edges.groupBy("src").agg(F.sum("n").alias("all"))
-    back = edges.groupBy("dst").agg(F.sum("n").alias("all"))
+    both = edges.select(F.inline(F.array(
+        F.struct(F.lit(0).alias("kind"), F.col("src").alias("host"), F.col("dst").alias("to"), "n"), F.struct(F.lit(1).alias("kind"), F.col("dst").alias("host"), F.col("src").alias("to"), "n")
+    )))
+    nodes = store(both.groupBy("kind", "host").agg(F.sum("n").alias("all"), F.ceil(F.count("*") / hub).alias("parts")))
+    onward = nodes.select("kind", F.col("host").alias("to"), F.col("parts").alias("to_parts"))
     ways = store(
-        edges.join(out, "src").select(F.lit(0).alias("kind"), F.col("src").alias("host"), F.col("dst").alias("to"), (F.col("n") / F.col("all")).alias("share"))
-        .union(edges.join(back, "dst").select(F.lit(1), "dst", "src", F.col("n") / F.col("all")))
-    )
-    start = store(
-        seeds.select("host", F.inline(F.array(F.struct(F.lit(0).alias("kind"), F.col("trust").alias("score")), F.struct(F.lit(1).alias("kind"), F.col("distrust").alias("score"))))).where("score > 0")
+        both.join(nodes, ["kind", "host"]).join(onward, ["kind", "to"], "left")
+        .select("kind", "host", F.pmod(F.xxhash64("to"), "parts").alias("part"), "to", "to_parts", (F.col("n") / F.col("all") * damping).alias("share"))
     )
-    own = start.select("kind", "host", (F.col("score") * (1 - damping)).alias("score"))
+    start = seeds.select("host", F.inline(F.array(F.struct(F.lit(0).alias("kind"), F.col("trust").alias("score")), F.struct(F.lit(1).alias("kind"), F.col("distrust").alias("score"))))).where("score > 0")
+    own = store(start.join(nodes, ["kind", "host"], "left").select("kind", "host", "parts", (F.col("score") * (1 - damping)).alias("score")))
     now, done, left = own.withColumn("fresh", F.col("score")), 0, not ways.isEmpty()
     while left:
         if done >= most:
             raise RuntimeError(f"host scores still change by up to {left} after {done} rounds")
         for _ in range(STORE_EVERY):
-            part = F.col("share") * damping
-            moved = now.join(ways, ["kind", "host"]).groupBy("kind", "to").agg(F.sum(F.col("score") * part).alias("score"), F.sum(F.col("fresh") * part).alias("fresh"))
-            now = own.withColumn("fresh", F.lit(0.0)).union(moved.select("kind", F.col("to").alias("host"), "score", "fresh")).groupBy("kind", "host").agg(F.sum("score").alias("score"), F.sum("fresh").alias("fresh"))
+            sent = now.where("parts > 0").select("kind", "host", "score", "fresh", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"))
+            moved = sent.join(ways, ["kind", "host", "part"]).select("kind", F.col("to").alias("host"), F.col("to_parts").alias("parts"), (F.col("score") * F.col("share")).alias("score"), (F.col("fresh") * F.col("share")).alias("fresh"))
+            now = own.withColumn("fresh", F.lit(0.0)).unionByName(moved).groupBy("kind", "host").agg(F.max("parts").alias("parts"), F.sum("score").alias("score"), F.sum("fresh").alias("fresh"))
         now, done = store(now), done + STORE_EVERY
         fresh = now.agg(F.sum("fresh")).first()[0] or 0.0
         left = fresh * damping / (1 - damping) if fresh * damping > PRECISION * (1 - damping) else 0
@@ -113,7 +121,7 @@ def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, most
 
 def judge(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", rules: Iterable[tuple[str, str, str]] = RULES,
           trusted: Iterable[str] = (), blocked: Iterable[str] = (), parents: bool = True, threshold: float = THRESHOLD,
-          damping: float = DAMPING, most: int = MOST_ROUNDS, domains: bool = False, suffixes: Iterable[str] = ()) -> DataFrame:
+          damping: float = DAMPING, most: int = MOST_ROUNDS, domains: bool = False, suffixes: Iterable[str] = SUFFIXES, hub: int = HUB_EDGES) -> DataFrame:
     """(key, host, path, rule, verdict, trust, distrust) of every row of ``pages``.
 
     A rule decides where one fits; else the host's scores do. Urls that are null or lack ``://`` have an empty
@@ -128,7 +136,7 @@ def judge(pages: DataFrame, key: str = "page_id", url: str = "url", html: str =
     seeds = at.where("host != ''").groupBy("host").agg(share["allow"].alias("trust"), share["block"].alias("distrust"))
     for name, hosts in (("trust", [*trusted]), ("distrust", [*blocked])):
         seeds = seeds.withColumn(name, F.when(F.col("host").isin(hosts), 1.0).otherwise(F.col(name)) if hosts else F.col(name))
-    scores = propagate(seeds, host_edges(at, "html", parents, domains, suffixes), damping, most)
+    scores = propagate(seeds, host_edges(at, "html", parents, domains, suffixes), damping, most, hub)
     trust, distrust = F.round(F.coalesce("trust", F.lit(0.0)), 9), F.round(F.coalesce("distrust", F.lit(0.0)), 9)
     return (
         at.drop("html")

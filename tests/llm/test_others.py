@@ -88,6 +88,33 @@ def test_scores_go_on_until_nothing_is_left(spark):
         urls.judge(pages(spark, rows), rules=(), blocked=["h1.net", "a.net"], parents=False, most=12)
 
 
+def test_scores_of_a_graph_with_hubs_match_dense_iteration(spark):
+    """A hub with many links both ways, dealt to several keys, a cycle, a chain of sixteen, several edges of a pair."""
+    rng = random.Random(3)
+    links = [("hub", f"n{i}") for i in range(40)] + [(f"n{i}", "hub") for i in range(0, 40, 3)] + [("a", "b"), ("b", "c"), ("c", "a"), ("c", "hub")]
+    links += [(f"h{i}", f"h{i + 1}") for i in range(16)] + [(f"n{rng.randrange(40)}", f"n{rng.randrange(40)}") for _ in range(60)]
+    edges = sorted({(a, b, 1 + (len(a) + len(b)) % 3) for a, b in links if a != b})
+    seeds = [("hub", 1.0, 0.25), ("a", 0.5, 0.0), ("h0", 1.0, 0.0), ("h16", 0.0, 1.0), ("n5", 0.0, 0.7), ("lone", 0.2, 0.3)]
+    names = sorted({x for a, b, _ in edges for x in (a, b)} | {h for h, _, _ in seeds})
+    at = {h: i for i, h in enumerate(names)}
+    out = np.zeros((len(names), len(names)))
+    for a, b, n in edges:
+        out[at[b], at[a]] = n
+    shares = [m / np.where(m.sum(0) > 0, m.sum(0), 1) for m in (out, out.T)]
+    d = urls.DAMPING
+    want = []
+    for k, m in enumerate(shares):
+        seed = np.zeros(len(names))
+        for h, *score in seeds:
+            seed[at[h]] = score[k]
+        want.append(np.linalg.solve(np.eye(len(names)) - d * m, (1 - d) * seed))
+    args = spark.createDataFrame(seeds, "host string, trust double, distrust double"), spark.createDataFrame(edges, "src string, dst string, n bigint")
+    for hub in (urls.HUB_EDGES, 7):
+        got = {r["host"]: (r["trust"], r["distrust"]) for r in urls.propagate(*args, hub=hub).collect()}
+        for h in names:
+            assert got.get(h, (0, 0)) == pytest.approx((want[0][at[h]], want[1][at[h]]), abs=1e-12)
+
+
 def test_hosts_of_a_domain_without_pages_share_scores(spark):
     rows = [(1, "http://m.spam.net/", ""), (2, "http://a.b.spam.net/", ""), (3, "http://m.fine.net/", ""), (4, "http://x.co.uk/", ""), (5, "http://y.co.uk/", ""), (6, "http://10.0.0.1/", ""), (7, "http://9.0.0.1/", ""), (8, "http://local/", ""), (9, None, "")]
     got = {r["page_id"]: r["verdict"] for r in urls.judge(pages(spark, rows), rules=(), blocked=["m.spam.net", "x.co.uk", "10.0.0.1"], domains=True, suffixes=["co.uk"]).collect()}
