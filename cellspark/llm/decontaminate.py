@@ -1,22 +1,25 @@
 """Benchmark decontamination: a broadcast hash set of normalised test n-grams, scanned over every document.
 
 Normalisation lower-cases A-Z and takes words of letters, digits and non-ASCII characters. A window is
-``WINDOW`` consecutive words of a test item; a shorter item is one window. Benchmark words are numbered,
-windows are kept as tuples of those numbers in a hash set, and a document window whose words are all known
-is looked up; as the numbers stand for whole words, a hit is verified word by word by the lookup itself.
+``WINDOW`` consecutive words of a test item; a shorter item is one window. The hash set is one sorted numpy array of
+64-bit window hashes, with a table of leading bits before it; a hit is verified against the words of the
+window itself, which are kept as one text. Of a word longer than ``LONG_WORD`` bytes its SHA-256 stands there.
 
-The set is broadcast in blocks of at most about ``block_bytes`` of benchmark text (an item is never split):
-a benchmark of any size is scanned block by block, with the hits so far stored in between.
+Items are cut into pieces that overlap by a window less one word, so one item may have any length. Pieces are
+dealt by their size to blocks of at most about ``block_bytes`` of words, which go to the tasks one after another: a
+benchmark of any size is scanned block by block, with the hits so far stored in between. The arrays of a block are
+built once, on the driver, and take about five times its bytes in a Python worker.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
-from itertools import repeat
+from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +28,10 @@ from cellspark.llm.rows import packed, texts
 
 WINDOW = 10
 BLOCK_BYTES = 16 << 20
+PIECE_WORDS = 1 << 16
+LONG_WORD = 256
+KNOWN_WORDS = 1 << 17
+FACTOR = np.uint64(0x9E3779B97F4A7C15)
 NORMAL = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 WORD = re.compile(rb"[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
 FOUND = "n_words bigint, hits array<struct<start:bigint,end:bigint>>, items array<string>"
@@ -35,36 +42,93 @@ def words_of(text: bytes | None) -> list[bytes]:
     return (text or b"").translate(NORMAL).split()
 
 
+def joined(words: list[bytes]) -> bytes:
+    """Words parted by spaces, long ones replaced by a zero byte and their digest."""
+    if max(map(len, words), default=0) > LONG_WORD:
+        words = [w if len(w) <= LONG_WORD else b"\0" + sha256(w).hexdigest().encode() for w in words]
+    return b" ".join(words)
+
+
+class WordHashes(dict):
+    """Hashes of words, remembered until ``forget`` finds too many."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = found = xxhash.xxh3_64_intdigest(joined([word]))
+        return found
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        if len(self) > KNOWN_WORDS:
+            self.clear()
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+
+
+def window_hashes(ids: np.ndarray, length: int) -> np.ndarray:
+    """The hash of every window of ``length`` words, from the words' hashes."""
+    many = max(0, len(ids) - length + 1)
+    out = np.zeros(many, np.uint64)
+    for j in range(length):
+        out *= FACTOR
+        out += ids[j : j + many]
+    return out
+
+
 class Windows:
-    """The windows of some test items (id, UTF-8 text), by word numbers."""
-
-    def __init__(self, items: list[tuple[str | None, bytes | None]], size: int = WINDOW):
-        self.number: dict[bytes, int] = {}
-        self.items: dict[bytes, set[str]] = {}
-        self.lengths: set[int] = set()
-        for item, text in items:
-            words = words_of(text)
-            if not words:
-                continue
-            ids = np.array([self.number.setdefault(w, len(self.number) + 1) for w in words], np.int64)
-            length = min(size, len(ids))
-            self.lengths.add(length)
-            for at in range(len(ids) - length + 1):
-                self.items.setdefault(ids[at : at + length].tobytes(), set()).update(() if item is None else (item,))
-
-    def scan(self, text: bytes | None) -> tuple[int, list[tuple[int, int]], set[str]]:
+    """The windows of some pieces (item id, words parted by single spaces)."""
+
+    def __init__(self, pieces: list[tuple[str | None, bytes]], size: int = WINDOW):
+        pieces = [(item, text) for item, text in pieces if text]
+        number: dict[str | None, int] = {}
+        owner = np.array([number.setdefault(item, len(number)) for item, _ in pieces], np.int64)
+        self.names = list(number)
+        self.text = b" ".join([text for _, text in pieces])
+        self.begins = np.append(np.flatnonzero(np.frombuffer(b" " + self.text, np.uint8) == 32), len(self.text) + 1).astype(np.uint32 if len(self.text) < 1 << 31 else np.int64)
+        hashes = WordHashes()
+        ids = np.concatenate([np.zeros(0, np.uint64), *(hashes.of(text.split(b" ")) for _, text in pieces)])
+        counts = np.array([text.count(b" ") + 1 for _, text in pieces], np.int64)
+        ends = np.repeat(np.cumsum(counts), counts)
+        lengths = np.repeat(np.minimum(counts, size), counts)
+        self.tables = {}
+        for length in np.unique(lengths).tolist():
+            at = np.flatnonzero(lengths == length)
+            at = at[at + length <= ends[at]]
+            key, of = window_hashes(ids, length)[at], np.repeat(owner, counts)[at]
+            order = np.lexsort((at, of, key))
+            at, key, of = at[order], key[order], of[order]
+            keep = np.ones(len(at), bool)
+            kept = 0
+            # an item's equal windows count once
+            for i in (np.flatnonzero((key[1:] == key[:-1]) & (of[1:] == of[:-1])) + 1).tolist():
+                kept = i - 1 if keep[i - 1] else kept
+                keep[i] = self.window(int(at[i]), length) != self.window(int(at[kept]), length)
+            at, key, of = at[keep], key[keep], of[keep]
+            begins = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+            bits = min(24, max(8, len(begins).bit_length() + 3))
+            leading = np.zeros(1 << bits, bool)
+            leading[key >> np.uint64(64 - bits)] = True
+            self.tables[length] = (leading, np.uint64(64 - bits), key[begins], np.append(begins, len(at)).astype(np.uint32), at.astype(np.uint32), of.astype(np.uint32))
+
+    def window(self, at: int, length: int) -> bytes:
+        return self.text[self.begins[at] : self.begins[at + length] - 1]
+
+    def scan(self, text: bytes | None, hashes: WordHashes) -> tuple[int, list[tuple[int, int]], set[str]]:
         """(number of words, hit spans in words, items with occurring windows) of a text."""
         words = words_of(text)
-        ids = np.fromiter(map(self.number.get, words, repeat(0)), np.int64, len(words))
-        known = np.concatenate(([0], np.cumsum(ids != 0)))
-        spans, items = [], set()
-        for length in self.lengths:
-            for at in np.flatnonzero(known[length:] - known[:-length] == length).tolist() if length <= len(ids) else ():
-                found = self.items.get(ids[at : at + length].tobytes())
-                if found is not None:
-                    spans.append((at, at + length))
-                    items |= found
-        return len(words), merged(spans), items
+        ids = hashes.of(words)
+        spans, items, seen = [], set(), {}
+        for length, (leading, shift, keys, begins, places, owners) in self.tables.items():
+            found = window_hashes(ids, length)
+            at = np.flatnonzero(leading[found >> shift])
+            near = np.minimum(np.searchsorted(keys, found[at]), len(keys) - 1)
+            same = keys[near] == found[at]
+            for start, k in zip(at[same].tolist(), near[same].tolist(), strict=True):
+                said = joined(words[start : start + length])
+                if said not in seen:
+                    run = range(begins[k], begins[k + 1])
+                    seen[said] = {int(owners[i]) for i in run if self.window(int(places[i]), length) == said}
+                    items.update(seen[said])
+                if seen[said]:
+                    spans.append((start, start + length))
+        return len(words), merged(spans), {name for name in map(self.names.__getitem__, items) if name is not None}
 
 
 def merged(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -88,8 +152,39 @@ def without(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join([*out, text[at:]])
 
 
+def cut(tests: DataFrame, size: int = WINDOW, piece_words: int = PIECE_WORDS) -> DataFrame:
+    """(item, words, bytes) of the pieces of test items (item, text): normalised words, parted by spaces.
+
+    Every window of an item lies in one piece. Items without words have none.
+    """
+    step = max(1, piece_words - size + 1)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for item, text in zip(batch.column("item").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist(), strict=True):
+                words = words_of(text)
+                starts = range(0, max(1, len(words) - size + 1), step) if words else ()
+                for first in range(0, len(starts), 16):
+                    pieces = [joined(words[at : at + step + size - 1]) for at in starts[first : first + 16]]
+                    yield pa.RecordBatch.from_arrays([pa.array([item] * len(pieces), pa.string()), pa.array(pieces, pa.binary()), pa.array(map(len, pieces), pa.int64())], ["item", "words", "bytes"])
+
+    return tests.mapInArrow(run, "item string, words binary, bytes bigint")
+
+
+def blocks_of(pieces: DataFrame, block_bytes: int) -> list[list[int]]:
+    """Buckets of pieces (see ``scan``) dealt to blocks in turn: a block has at most ``block_bytes``, or one bucket."""
+    out, room = [], 0
+    for bucket, size in sorted((r["bucket"], r["bytes"]) for r in pieces.groupBy("bucket").agg(F.sum("bytes").alias("bytes")).collect()):
+        if size > room:
+            out.append([])
+            room = block_bytes
+        out[-1].append(bucket)
+        room -= size
+    return out
+
+
 def scan(docs: DataFrame, benchmark: DataFrame, keep: list[str], text: str = "text", item: str = "item_id",
-         item_text: str = "text", size: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+         item_text: str = "text", size: int = WINDOW, block_bytes: int = BLOCK_BYTES, piece_words: int = PIECE_WORDS) -> DataFrame:
     """Every row of ``docs`` as (row: struct of the columns ``keep``, n_words, hits, items).
 
     hits are disjoint spans of words inside occurrences of any window, items the ids (as text) of test items
@@ -98,10 +193,11 @@ def scan(docs: DataFrame, benchmark: DataFrame, keep: list[str], text: str = "te
     neither merged nor dropped, and columns are only taken by the given names.
     """
     spark = docs.sparkSession
-    tests = store(benchmark.select(F.col(item).cast("string").alias("item"), F.col(item_text).cast("string").alias("text")).distinct())
-    total = tests.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-total // block_bytes))
-    dealt = tests.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(blocks)))
+    tests = benchmark.select(F.col(item).cast("string").alias("item"), F.col(item_text).cast("string").alias("text")).distinct()
+    pieces = store(cut(tests, size, piece_words))
+    total = pieces.agg(F.sum("bytes")).first()[0] or 0
+    pieces = pieces.withColumn("bucket", F.pmod(F.xxhash64("item", "words"), F.lit(max(1, -(-4 * total // block_bytes)))))
+    blocks = blocks_of(pieces, block_bytes) or [[]]
     rows = packed(docs, keep, text)
     beside = [c for c in rows.columns if c != "row"]
     kind = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in rows.columns)
@@ -109,17 +205,17 @@ def scan(docs: DataFrame, benchmark: DataFrame, keep: list[str], text: str = "te
         "*", F.lit(0).cast("bigint").alias("n_words"),
         F.array().cast("array<struct<start:bigint,end:bigint>>").alias("hits"), F.array().cast("array<string>").alias("items"),
     )
-    for block in range(blocks):
-        held = dealt.where(F.col("block") == block).select("item", F.encode("text", "UTF-8").alias("text")).collect()
-        sent = spark.sparkContext.broadcast([(r["item"], None if r["text"] is None else bytes(r["text"])) for r in held])
+    for block, buckets in enumerate(blocks):
+        held = pieces.where(F.col("bucket").isin(buckets)).select("item", "words").collect()  # block_bytes
+        sent = spark.sparkContext.broadcast(Windows([(r["item"], bytes(r["words"])) for r in held], size))
 
         def run(batches: Iterable[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            windows = Windows(sent.value, size)
+            windows, hashes = sent.value, WordHashes()
             for batch in batches:
                 n, hits, items = [], [], []
                 old_hits, old_items = batch.column("hits"), batch.column("items")
                 for i, x in enumerate(texts(batch, text)):
-                    n_words, spans, names = windows.scan(x)
+                    n_words, spans, names = windows.scan(x, hashes)
                     n.append(n_words)
                     hits.append([{"start": s, "end": e} for s, e in merged([*spans, *((h["start"], h["end"]) for h in old_hits[i].as_py())])])
                     items.append(sorted(names.union(old_items[i].as_py())))
@@ -131,16 +227,16 @@ def scan(docs: DataFrame, benchmark: DataFrame, keep: list[str], text: str = "te
                 yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
         out = out.mapInArrow(run, f"{kind}, {FOUND}")
-        if block < blocks - 1:
+        if block < len(blocks) - 1:
             out = store(out)
     return out.drop(*beside)
 
 
 def report(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", size: int = WINDOW,
-           block_bytes: int = BLOCK_BYTES) -> DataFrame:
+           block_bytes: int = BLOCK_BYTES, piece_words: int = PIECE_WORDS) -> DataFrame:
     """(key, n_words, n_hit, n_items, items_sha256, contaminated) of every row; see ``scan`` for odd cases."""
     n_hit = F.aggregate("hits", F.lit(0).cast("bigint"), lambda n, h: n + h["end"] - h["start"])
-    return scan(docs, benchmark, [key], text, size=size, block_bytes=block_bytes).select(
+    return scan(docs, benchmark, [key], text, size=size, block_bytes=block_bytes, piece_words=piece_words).select(
         F.col("row")[key].alias(key),
         "n_words",
         n_hit.alias("n_hit"),

@@ -29,7 +29,7 @@ RULES = (
 )
 DAMPING = 0.85
 #: ``propagate`` goes on until what is left is below ``PRECISION``, far below the nine digits of the scores.
-PRECISION, MOST_ROUNDS, STORE_EVERY = 1e-13, 1000, 8
+PRECISION, MOST_ROUNDS, STORE_EVERY = 1e-11, 1000, 4
 HUB_EDGES = 100_000
 THRESHOLD = 0.01
 #: Suffixes of two labels under which domains of different owners are registered.

@@ -8,6 +8,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from cellspark.llm import decontaminate, lines, packing, secrets, simhash
 from tests.llm.builders import documents, odd_rows, prose
@@ -37,11 +38,11 @@ def brute_hits(text, items):
     return len(words), len(hit), sorted(x for x in named if x is not None)
 
 
-@pytest.mark.parametrize("block_bytes", [16 << 20, 120])
-def test_decontamination_matches_brute_force(spark, block_bytes):
+@pytest.mark.parametrize("block_bytes,piece_words", [(16 << 20, 1 << 16), (120, 1 << 16), (120, 11)])
+def test_decontamination_matches_brute_force(spark, block_bytes, piece_words):
     text = f"{prose(3, 20)}, {prose(50, 14).upper()}! {prose(4, 5)} SHORT\n item {prose(51, 11)}"
     rows = [*odd_rows(), (20, text), (21, prose(50, 9)), (22, prose(52, 10))]
-    got = decontaminate.report(documents(spark, rows, clashing=True), bench(spark), block_bytes=block_bytes).collect()
+    got = decontaminate.report(documents(spark, rows, clashing=True), bench(spark), block_bytes=block_bytes, piece_words=piece_words).collect()
     want = []
     for key, t in rows:
         n, hit, items = brute_hits(t, BENCH)
@@ -58,6 +59,26 @@ def test_spans_are_cut_and_documents_dropped(spark):
     assert sorted(r["doc_id"] for r in decontaminate.clean_documents(docs, bench(spark)).collect()) == [2, 3]
 
 
+def test_a_long_item_is_cut_and_blocks_stay_small(spark):
+    """An item of 50 MB with repeats, beside one that shares a window, and a word of a megabyte; blocks and tables are bounded."""
+    huge = "x" * (1 << 20)
+    long = " ".join(f"w{i % 6_000_000}" for i in range(6_200_000))
+    items = [("long", long), ("other", " ".join(f"w{i}" for i in range(5, 17))), ("huge", f"a {huge} b c d e f g h i j")]
+    tests = spark.createDataFrame(items, "item_id string, text string")
+    pieces = decontaminate.cut(tests.withColumnRenamed("item_id", "item")).withColumn("bucket", F.pmod(F.xxhash64("item", "words"), F.lit(16))).cache()
+    sizes = {r[0]: r[1] for r in pieces.groupBy("bucket").agg(F.sum("bytes")).collect()}
+    blocks = decontaminate.blocks_of(pieces, 16 << 20)
+    assert len(long) > 50_000_000 and pieces.agg(F.max("bytes")).first()[0] < 1 << 20
+    assert sorted(b for bs in blocks for b in bs) == sorted(sizes) and all(len(bs) == 1 or sum(sizes[b] for b in bs) <= 16 << 20 for bs in blocks)
+    held = pieces.where(F.col("bucket").isin(blocks[0])).select("item", "words").collect()
+    windows = decontaminate.Windows([(r[0], bytes(r[1])) for r in held])
+    arrays = [windows.begins, *(a for t in windows.tables.values() for a in t if isinstance(a, np.ndarray))]
+    assert len(windows.text) + sum(a.nbytes for a in arrays) < 150 << 20
+    docs = documents(spark, [(1, "so w5 w6 w7 w8 w9 w10 w11 w12 w13 w14 w15"), (2, f"{huge} b c d e f g h i j"), (3, f"{huge}x b c d e f g h i j"), (4, " ".join(f"w{i}" for i in range(5_999_990, 6_000_020)))])
+    got = {r["doc_id"]: (r["n_words"], r["n_hit"], r["n_items"]) for r in decontaminate.report(docs, tests).collect()}
+    assert got == {1: (12, 11, 2), 2: (10, 10, 1), 3: (10, 0, 0), 4: (30, 10, 1)}
+
+
 def test_decontamination_of_nothing(spark):
     docs = documents(spark, [(1, "some words")])
     assert decontaminate.report(docs, bench(spark).limit(0)).first()["n_hit"] == 0
