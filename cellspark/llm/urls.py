@@ -7,17 +7,22 @@ trusted, or blocked, by the share of its pages that a rule allows, or blocks; ho
 Trust spreads along edges as a personalised PageRank, distrust against them; as seeds are not normalised,
 scores do not depend on the number of hosts. A host is blocked if its distrust reaches the threshold and
 exceeds its trust. Only hosts and edges between hosts are joined in the iterations; pages meet the scores once. The edges of a host with
-more than ``HUB_EDGES`` are dealt to several keys, to each of which its score is sent.
+more than ``HUB_EDGES`` are dealt to several keys, to each of which its score is sent. Connected components of at most
+``WHOLE_EDGES`` edges go through the same rounds inside one task each, many components together; rounds over tables
+are for larger ones.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellspark.functions.lineage import store
+from cellspark.llm.components import connected_components
 
 #: (verdict, host, path)
 RULES = (
@@ -31,6 +36,7 @@ DAMPING = 0.85
 #: ``propagate`` goes on until what is left is below ``PRECISION``, far below the nine digits of the scores.
 PRECISION, MOST_ROUNDS, STORE_EVERY = 1e-11, 1000, 4
 HUB_EDGES = 100_000
+WHOLE_EDGES, BLOCK_EDGES = 200_000, 1_000_000
 THRESHOLD = 0.01
 #: Suffixes of two labels under which domains of different owners are registered.
 SUFFIXES = (
@@ -85,7 +91,29 @@ def host_edges(pages: DataFrame, html: str, parents: bool, domains: bool = False
     return edges
 
 
-def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, most: int = MOST_ROUNDS, hub: int = HUB_EDGES) -> DataFrame:
+def solve_whole(block: pa.Table, damping: float, most: int) -> pa.Table:
+    """(kind, host, score) of the components of a block, from its edges (kind, host, to, share) and own shares (to is null)."""
+    frame = block.to_pandas()
+    sides = [list(zip(frame["kind"], frame[side], strict=True)) for side in ("host", "to")]
+    number: dict[tuple[int, str], int] = {}
+    source, target = (np.array([number.setdefault(node, len(number)) for node in side], np.int64) for side in sides)
+    names = list(number)
+    edge = frame["to"].notna().to_numpy()
+    value = frame["share"].to_numpy(np.float64)
+    own = np.bincount(source[~edge], value[~edge], len(names))
+    source, target, share = source[edge], target[edge], value[edge]
+    score, fresh, done = own, own, 0
+    while fresh.sum() * damping > PRECISION * (1 - damping):
+        if done >= most:
+            raise RuntimeError(f"host scores still change after {done} rounds")
+        fresh, done = np.bincount(target, fresh[source] * share, len(names)), done + 1
+        score = score + fresh
+    found = [(kind, host, x) for (kind, host), x in zip(names, score.tolist(), strict=True) if host is not None]
+    kinds, hosts, scores = zip(*found, strict=True)
+    return pa.table({"kind": pa.array(kinds, pa.int32()), "host": pa.array(hosts, pa.string()), "score": pa.array(scores, pa.float64())})
+
+
+def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, most: int = MOST_ROUNDS, hub: int = HUB_EDGES, whole: int = WHOLE_EDGES) -> DataFrame:
     """(host, trust, distrust) of hosts with any score, from seeds (host, trust, distrust) and edges (src, dst, n).
 
     Trust is shared among a host's outgoing edges, distrust among its incoming ones, by their weights; what
@@ -93,29 +121,46 @@ def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, most
     what the round before added, so all later rounds together add at most fresh * damping / (1 - damping) to all
     scores; rounds end when that is below ``PRECISION``. ``most`` rounds without that raise an error. ``parts`` is
     the number of keys that a host's edges are dealt to, at most ``hub`` or so to each; null without edges.
+    Components of at most ``whole`` edges are solved in blocks of them, each in a task of its own.
     """
     both = edges.select(F.inline(F.array(
         F.struct(F.lit(0).alias("kind"), F.col("src").alias("host"), F.col("dst").alias("to"), "n"), F.struct(F.lit(1).alias("kind"), F.col("dst").alias("host"), F.col("src").alias("to"), "n")
     )))
     nodes = store(both.groupBy("kind", "host").agg(F.sum("n").alias("all"), F.ceil(F.count("*") / hub).alias("parts")))
     onward = nodes.select("kind", F.col("host").alias("to"), F.col("parts").alias("to_parts"))
-    ways = store(
+    all_ways = (
         both.join(nodes, ["kind", "host"]).join(onward, ["kind", "to"], "left")
         .select("kind", "host", F.pmod(F.xxhash64("to"), "parts").alias("part"), "to", "to_parts", (F.col("n") / F.col("all") * damping).alias("share"))
     )
+    # two hosts of one hash are in one component then, which changes no score
+    within = connected_components(edges.select(F.xxhash64("src").alias("src"), F.xxhash64("dst").alias("dst")))
+    parted = all_ways.withColumn("id", F.xxhash64("host")).join(within, "id").drop("id")
+    sizes = parted.groupBy("component").agg(F.count("*").alias("edges"))
+    grouped = store(parted.join(sizes, "component"))
+    small = F.col("edges") <= whole
     start = seeds.select("host", F.inline(F.array(F.struct(F.lit(0).alias("kind"), F.col("trust").alias("score")), F.struct(F.lit(1).alias("kind"), F.col("distrust").alias("score"))))).where("score > 0")
-    own = store(start.join(nodes, ["kind", "host"], "left").select("kind", "host", "parts", (F.col("score") * (1 - damping)).alias("score")))
+    start = start.join(nodes, ["kind", "host"], "left").select("kind", "host", "parts", (F.col("score") * (1 - damping)).alias("score"))
+    groups = grouped.select("component", "edges").distinct()
+    start = store(start.withColumn("id", F.xxhash64("host")).join(within, "id", "left").drop("id").join(groups, "component", "left"))
+    total = grouped.where(small).count()
+    blocks = max(1, -(-total // BLOCK_EDGES))
+    block = F.pmod(F.xxhash64("component"), F.lit(blocks)).alias("block")
+    rows = grouped.where(small).select(block, "kind", "host", "to", "share").union(start.where(small).select(block, "kind", "host", F.lit(None).cast("string"), "score"))
+    solved = rows.groupBy("block").applyInArrow(lambda t: solve_whole(t, damping, most), "kind int, host string, score double")
+    solved = solved.union(start.where("edges is null").select("kind", "host", "score"))
+    ways, own = grouped.where(~small), start.where(~small).select("kind", "host", "parts", "score")
     now, done, left = own.withColumn("fresh", F.col("score")), 0, not ways.isEmpty()
     while left:
         if done >= most:
             raise RuntimeError(f"host scores still change by up to {left} after {done} rounds")
         for _ in range(STORE_EVERY):
             sent = now.where("parts > 0").select("kind", "host", "score", "fresh", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"))
-            moved = sent.join(ways, ["kind", "host", "part"]).select("kind", F.col("to").alias("host"), F.col("to_parts").alias("parts"), (F.col("score") * F.col("share")).alias("score"), (F.col("fresh") * F.col("share")).alias("fresh"))
+            moved = sent.join(ways.select("kind", "host", "part", "to", "to_parts", "share"), ["kind", "host", "part"]).select("kind", F.col("to").alias("host"), F.col("to_parts").alias("parts"), (F.col("score") * F.col("share")).alias("score"), (F.col("fresh") * F.col("share")).alias("fresh"))
             now = own.withColumn("fresh", F.lit(0.0)).unionByName(moved).groupBy("kind", "host").agg(F.max("parts").alias("parts"), F.sum("score").alias("score"), F.sum("fresh").alias("fresh"))
         now, done = store(now), done + STORE_EVERY
         fresh = now.agg(F.sum("fresh")).first()[0] or 0.0
         left = fresh * damping / (1 - damping) if fresh * damping > PRECISION * (1 - damping) else 0
+    now = now.select("kind", "host", "score").union(solved)
     return now.groupBy("host").agg(F.sum(F.when(F.col("kind") == 0, F.col("score")).otherwise(0.0)).alias("trust"), F.sum(F.when(F.col("kind") == 1, F.col("score")).otherwise(0.0)).alias("distrust"))
 
 
