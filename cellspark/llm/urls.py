@@ -92,7 +92,7 @@ def host_edges(pages: DataFrame, html: str, parents: bool, domains: bool = False
 
 
 def solve_whole(block: pa.Table, damping: float, most: int) -> pa.Table:
-    """(kind, host, score) of the components of a block, from its edges (kind, host, to, share) and own shares (to is null)."""
+    """(kind, host, score, left) of a block's components, from edges (kind, host, to, share) and own shares (to is null); left is what later rounds may add."""
     frame = block.to_pandas()
     sides = [list(zip(frame["kind"], frame[side], strict=True)) for side in ("host", "to")]
     number: dict[tuple[int, str], int] = {}
@@ -103,14 +103,12 @@ def solve_whole(block: pa.Table, damping: float, most: int) -> pa.Table:
     own = np.bincount(source[~edge], value[~edge], len(names))
     source, target, share = source[edge], target[edge], value[edge]
     score, fresh, done = own, own, 0
-    while fresh.sum() * damping > PRECISION * (1 - damping):
-        if done >= most:
-            raise RuntimeError(f"host scores still change after {done} rounds")
+    while (left := fresh.sum() * damping / (1 - damping)) > PRECISION and done < most:
         fresh, done = np.bincount(target, fresh[source] * share, len(names)), done + 1
         score = score + fresh
     found = [(kind, host, x) for (kind, host), x in zip(names, score.tolist(), strict=True) if host is not None]
     kinds, hosts, scores = zip(*found, strict=True)
-    return pa.table({"kind": pa.array(kinds, pa.int32()), "host": pa.array(hosts, pa.string()), "score": pa.array(scores, pa.float64())})
+    return pa.table({"kind": pa.array(kinds, pa.int32()), "host": pa.array(hosts, pa.string()), "score": pa.array(scores, pa.float64()), "left": pa.array([left] * len(found), pa.float64())})
 
 
 def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, most: int = MOST_ROUNDS, hub: int = HUB_EDGES, whole: int = WHOLE_EDGES) -> DataFrame:
@@ -146,8 +144,11 @@ def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, most
     blocks = max(1, -(-total // BLOCK_EDGES))
     block = F.pmod(F.xxhash64("component"), F.lit(blocks)).alias("block")
     rows = grouped.where(small).select(block, "kind", "host", "to", "share").union(start.where(small).select(block, "kind", "host", F.lit(None).cast("string"), "score"))
-    solved = rows.groupBy("block").applyInArrow(lambda t: solve_whole(t, damping, most), "kind int, host string, score double")
-    solved = solved.union(start.where("edges is null").select("kind", "host", "score"))
+    solved = store(rows.groupBy("block").applyInArrow(lambda t: solve_whole(t, damping, most), "kind int, host string, score double, left double"))
+    left = solved.agg(F.max("left")).first()[0] or 0.0
+    if left > PRECISION:
+        raise RuntimeError(f"host scores still change by up to {left} after {most} rounds")
+    solved = solved.drop("left").union(start.where("edges is null").select("kind", "host", "score"))
     ways, own = grouped.where(~small), start.where(~small).select("kind", "host", "parts", "score")
     now, done, left = own.withColumn("fresh", F.col("score")), 0, not ways.isEmpty()
     while left:
