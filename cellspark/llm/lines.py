@@ -12,8 +12,9 @@
    interval's first member stays, the others are later copies. A maximal repeated run of enough words is
    the union of the windows inside it, so what is deleted is exactly the later copies of maximal runs.
 
-Counts and ranks are aggregated before they move; no task gathers a group of copies. What is gathered into
-one row never exceeds one document.
+Counts and ranks are aggregated before they move; no task gathers a group of copies, and rows whose line or
+rank is very common take their rank or first place from a broadcast (``rows.meet``). What is gathered into one
+row never exceeds one document.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellspark.functions.lineage import store
+from cellspark.llm.rows import meet
 
 MIN_WORDS = 50
 SEQ = ["s1", "s2"]
@@ -49,23 +51,24 @@ def hashed_lines(docs: DataFrame, key: str, text: str, min_words: int) -> DataFr
     return rows.where(enough).select("key", "content", F.posexplode("lines").alias("pos", "at")).select("key", "content", "pos", "at.*")
 
 
-def ranked(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """``rows`` with the dense rank, from 1, of their (never null) keys among all distinct keys."""
+def ranked(rows: DataFrame, keys: list[str], name: str, apart: list[str]) -> DataFrame:
+    """``rows`` with the dense rank, from 1, of their (never null) keys among all distinct keys; ``apart`` tells rows from one another."""
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    distinct = store(rows.select(*keys).distinct().repartitionByRange(parts, *keys).withColumn("part", F.spark_partition_id()))
+    distinct = store(rows.groupBy(*keys).agg(F.count("*").alias("copies")).repartitionByRange(parts, *keys).withColumn("part", F.spark_partition_id()))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     # a row for each partition
     offsets = distinct.groupBy("part").agg(F.count("*").alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
     inside = F.row_number().over(Window.partitionBy("part").orderBy(*keys))
-    numbered = distinct.withColumn("inside", inside).join(F.broadcast(offsets), "part").select(*keys, (F.col("inside") + F.col("before")).alias(name))
-    return rows.join(numbered, keys)
+    numbered = distinct.withColumn("inside", inside).join(F.broadcast(offsets), "part").select(*keys, "copies", (F.col("inside") + F.col("before")).alias(name))
+    return meet(rows, numbered, keys, "copies", apart, distinct).select(*rows.columns, f"met.{name}")
 
 
 def segments(lines: DataFrame, min_words: int) -> DataFrame:
     """(key, content, seg, lines, s1, s2) of the segments of repeated lines with enough words."""
-    often = lines.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2")
+    often = store(lines.groupBy("h1", "h2").agg(F.count("*").alias("copies")).where("copies > 1"))
+    repeated = meet(lines, often, ["h1", "h2"], "copies", ["key", "content", "pos"]).drop("met")
     # a row given twice is one document: its lines are the same rows
-    repeated = lines.join(often, ["h1", "h2"], "left_semi").repartition("key", "content").dropDuplicates(["key", "content", "pos"])
+    repeated = repeated.repartition("key", "content").dropDuplicates(["key", "content", "pos"])
     inside = Window.partitionBy("key", "content").orderBy("pos")
     breaks = F.coalesce(F.col("pos") - F.lag("pos").over(inside) != 1, F.lit(True)).cast("int")
     return (
@@ -103,12 +106,12 @@ def later_lines(sequences: DataFrame, min_words: int) -> DataFrame:
     suffixes = sequences.select(*SEQ, "ord", F.posexplode("lines").alias("at", "x")).select(*SEQ, "ord", "at", "x.words", "x.h1", "x.h2")
     wanted = store(windows_of(suffixes, min_words))
     longest = wanted.agg(F.max(F.col("end") - F.col("start"))).first()[0] or 0
-    ranks = store(ranked(suffixes, ["h1", "h2"], "r0").select(*SEQ, "ord", "at", "r0"))
+    ranks = store(ranked(suffixes, ["h1", "h2"], "r0", [*SEQ, "at"]).select(*SEQ, "ord", "at", "r0"))
     levels = 0
     while 2 << levels <= longest:
         apart = Window.partitionBy(*SEQ).orderBy("at")
         shifted = ranks.withColumn("next", F.coalesce(F.lead(f"r{levels}", 1 << levels).over(apart), F.lit(0)))
-        ranks = store(ranked(shifted, [f"r{levels}", "next"], f"r{levels + 1}").drop("next"))
+        ranks = store(ranked(shifted, [f"r{levels}", "next"], f"r{levels + 1}", [*SEQ, "at"]).drop("next"))
         levels += 1
     every = F.array(*[f"r{k}" for k in range(levels + 1)])
     size = F.col("end") - F.col("start")
@@ -127,23 +130,16 @@ def later_lines(sequences: DataFrame, min_words: int) -> DataFrame:
         )
     )
     interval = ["n", "head", "tail"]
-    first = members.groupBy(*interval).agg(F.min("place").alias("first"), F.count("*").alias("copies")).where("copies > 1")
-    later = members.join(first, interval).where(F.col("place") >= F.col("first") + F.col("n"))
+    first = store(members.groupBy(*interval).agg(F.min("place").alias("first"), F.count("*").alias("copies")).where("copies > 1"))
+    later = meet(members, first, interval, "copies", [*SEQ, "start"]).where(F.col("place") >= F.col("met.first") + F.col("n"))
     return later.select(*SEQ, F.explode(F.sequence("start", F.col("end") - 1)).alias("at")).distinct()
 
 
 def repeated_runs(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """(key, content, runs) of the documents with deleted lines; runs are sorted spans [from, to] of lines."""
-    found = store(segments(store(hashed_lines(docs, key, text, min_words)), min_words))
-    place = ["key", "content", "seg"]
-    first = found.groupBy(*SEQ).agg(F.min(F.struct(*place)).alias("first"))
-    sequences = store(
-        ranked(
-            found.join(first, SEQ).where(F.struct(*place) == F.col("first")).select(*SEQ, "lines", F.struct(*place).alias("place")),
-            ["place"],
-            "ord",
-        )
-    )
+    found = store(segments(store(hashed_lines(docs, key, text, min_words)), min_words).withColumn("place", F.struct("key", "content", "seg")))
+    first = store(found.groupBy(*SEQ).agg(F.min("place").alias("place"), F.count("*").alias("copies")))
+    sequences = store(ranked(found.join(first.select("place"), "place").select(*SEQ, "lines", "place"), ["place"], "ord", ["place"]))
     flagged = later_lines(sequences.select(*SEQ, "ord", "lines"), min_words)
     inside = Window.partitionBy(*SEQ).orderBy("at")
     islands = (
@@ -154,9 +150,8 @@ def repeated_runs(docs: DataFrame, key: str = "doc_id", text: str = "text", min_
     in_first = sequences.join(islands, SEQ).select(
         "place.key", "place.content", F.element_at("lines", F.col("low") + 1)["line"].alias("from"), F.element_at("lines", F.col("high") + 1)["line"].alias("to")
     )
-    copies = found.join(first, SEQ).where(F.struct(*place) != F.col("first")).select(
-        "key", "content", F.element_at("lines", 1)["line"].alias("from"), F.element_at("lines", -1)["line"].alias("to")
-    )
+    spans = found.select(*SEQ, "key", "content", "place", F.element_at("lines", 1)["line"].alias("from"), F.element_at("lines", -1)["line"].alias("to"))
+    copies = meet(spans, first, SEQ, "copies", ["place"]).where(F.col("place") != F.col("met.place")).select("key", "content", "from", "to")
     return in_first.union(copies).groupBy("key", "content").agg(F.sort_array(F.collect_list(F.struct("from", "to"))).alias("runs"))
 
 

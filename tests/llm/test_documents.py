@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from cellspark.llm import decontaminate, lines, packing, secrets, simhash
+from cellspark.llm import decontaminate, lines, packing, rows as rows_, secrets, simhash
 from tests.llm.builders import documents, odd_rows, prose
 
 
@@ -146,6 +146,25 @@ def test_line_dedup_of_odd_rows(spark):
     assert lines.dedup_lines(documents(spark, odd_rows()).limit(0)).count() == 0
 
 
+def test_rows_of_a_common_key_meet_it_in_many_tasks(spark):
+    """A third of the rows have one key; every row of a known key comes back once with its columns, dealt evenly."""
+    rows = spark.range(30_000).select(F.col("id"), F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 5_000).alias("k"))
+    counted = rows.groupBy("k").agg(F.count("*").alias("n"), F.min("id").alias("first")).where("k < 4000")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        met = rows_.meet(rows, counted, ["k"], "n", ["id"]).select("id", "k", "met.*", F.spark_partition_id().alias("task")).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    want = {r["k"]: (r["n"], r["first"]) for r in counted.collect()}
+    assert sorted(r["id"] for r in met) == [i for i in range(30_000) if (-1 if i % 3 == 0 else i % 5_000) in want]
+    assert all((r["n"], r["first"]) == want[r["k"]] for r in met)
+    common = [r["task"] for r in met if r["k"] == -1]
+    sizes = [common.count(t) for t in set(common)]
+    assert len(sizes) > 1 and max(sizes) < 2 * len(common) / len(sizes)
+
+
 # --- SimHash -----------------------------------------------------------------------------------------------------
 
 
