@@ -1,20 +1,22 @@
 """Near duplicates of embeddings: random-hyperplane sign hashing, exact verification, connected components.
 
-Equal vectors are one node with a count. Each node falls into one bucket of every table; buckets are cut
-into tiles of about ``TILE_ROWS`` and every pair of tiles of a bucket is one piece of work, so a bucket of
+Equal vectors are one node with a count. Each node falls into one bucket of every table; buckets of more than
+``TILE_ROWS`` are cut into tiles and every pair of tiles of a bucket is one piece of work, so a bucket of
 any size is spread over tasks of bounded memory. Cosines are computed exactly, in double precision, as
-products of blocks. A pair that meets in several tables counts in the first of them only, which its own
-signatures tell; so links are counted without ever being listed, and only counts and a spanning forest of
-each piece of work move on.
-
-Two vectors at an angle a share a bit with probability 1 - a / pi. With 12 bits and 40 tables a pair of
-cosine 0.95 is missed with probability 2e-6, closer ones less often; so a row of a group of 1,000 such pairs
-misses 0.002 links. For n nodes about log2(n / 16) bits
-keep buckets small; each bit more asks for 1.11 times as many tables.
+products of blocks; small buckets of one size are multiplied together. A pair that meets in several tables
+counts in the first of them only, which its own signatures tell; so links are counted without ever being
+listed, and only counts and a spanning forest of the pieces of work move on.
+
+Two vectors at an angle a share a bit with probability 1 - a / pi. The bits grow with the number of nodes, so
+that a bucket holds about ``BUCKET_ROWS`` unrelated ones at every size, and the tables with the bits, so that a
+pair at the threshold is missed with probability ``MISS`` at most, closer ones less often: a row of a group of
+1,000 such pairs misses 0.0025 links. At a cosine of 0.95 that is 24 tables of 8 bits up to 4,096 nodes, 40 of
+12 up to 65,536, 103 of 20 up to 16 million; each bit more asks for 1.11 times as many tables.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -26,11 +28,24 @@ from cellspark.functions.lineage import store
 from cellspark.llm.components import Forest, connected_components
 
 COSINE = 0.95
-BITS = 12
-TABLES = 40
+#: Probability of missing a pair at the threshold.
+MISS = 2.5e-6
+BUCKET_ROWS = 16
+#: With more than BUCKET_ROWS * 2 ** 30 nodes buckets grow.
+LEAST_BITS, MOST_BITS = 8, 30
 SEED = 20_240_601
 TILE_ROWS = 2_048
 ROWS_AT_ONCE = 512
+#: Buckets of at most this many rows are compared together, so many at a time that no array has more numbers than CELLS.
+SMALL_ROWS = 128
+CELLS = 1 << 20
+
+
+def shape_of(nodes: int, cosine: float) -> tuple[int, int]:
+    """(bits, tables) for so many nodes."""
+    bits = min(max(math.ceil(math.log2(max(nodes, 1) / BUCKET_ROWS)), LEAST_BITS), MOST_BITS)
+    met = (1 - math.acos(min(max(cosine, -1.0), 1.0)) / math.pi) ** bits
+    return bits, 1 if met >= 1 - MISS else math.ceil(math.log(MISS) / math.log1p(-met))
 
 
 def planes(dimension: int, bits: int, tables: int) -> np.ndarray:
@@ -49,25 +64,55 @@ def unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.sqrt((vectors * vectors).sum(axis=1, keepdims=True))
 
 
-def groups(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
-    """The groups of rows with equal keys, from batches in which they are neighbours."""
-    kept: pa.Table | None = None
+def groups(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """(rows, starts of the groups and the end) of whole groups of rows with equal keys, from batches in which they are neighbours."""
+    kept: list[pa.Table] = []
     for batch in batches:
         if not batch.num_rows:
             continue
-        table = pa.Table.from_batches([batch])
-        if kept is not None:
-            table = pa.concat_tables([kept, table]).combine_chunks()
+        table = pa.concat_tables([*kept[-1:], pa.Table.from_batches([batch])])
         new = np.zeros(table.num_rows - 1, bool)
         for key in keys:
             values = table[key].to_numpy()
             new |= values[1:] != values[:-1]
-        edges = [0, *(np.flatnonzero(new) + 1).tolist()]
-        for start, end in zip(edges, edges[1:], strict=False):
-            yield table.slice(start, end - start)
-        kept = table.slice(edges[-1])
-    if kept is not None:
-        yield kept
+        edges = np.concatenate(([0], np.flatnonzero(new) + 1))
+        if len(edges) > 1:
+            yield table.slice(0, int(edges[-1])), edges
+        kept = [table.slice(int(edges[-1]))]
+    for table in kept:
+        yield table, np.array([0, table.num_rows])
+
+
+def rows_of(column: list[bytes], kind: type) -> np.ndarray:
+    return np.frombuffer(b"".join(column), kind).reshape(len(column), -1)
+
+
+def compare_small(held: pa.Table, starts: np.ndarray, sizes: np.ndarray, cosine: float, kind: type) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """As ``compare``, for many small tiles each met with itself: rows ``starts[i]`` to ``starts[i] + sizes[i]``."""
+    node, count, table, length = (held[c].to_numpy() for c in ("node", "n", "table", "length"))
+    vec, sig = held["vec"].to_pylist(), rows_of(held["sig"].to_pylist(), np.uint32)
+    links = np.zeros(len(node), np.int64)
+    trees = Forest(len(node))
+    lengths = length[starts]
+    for dimension, size in sorted(set(zip(lengths.tolist(), sizes.tolist(), strict=True))):
+        of = starts[(lengths == dimension) & (sizes == size)]
+        step = max(1, CELLS // (size * max(size, dimension)))
+        for at in range(0, len(of), step):
+            rows = of[at : at + step, None] + np.arange(size)
+            units = unit(rows_of([vec[i] for i in rows.ravel().tolist()], kind).astype(np.float64)).reshape(*rows.shape, dimension)
+            g, i, j = np.nonzero(np.triu(units @ units.transpose(0, 2, 1) >= cosine, 1))
+            u, v = rows[g, i], rows[g, j]
+            first = np.ones(len(u), bool)
+            for t in range(int(table[u].max()) if len(u) else 0):  # met before
+                first &= (sig[u, t] != sig[v, t]) | (table[u] <= t)
+            u, v = u[first], v[first]
+            if len(u):
+                np.add.at(links, u, count[v])
+                np.add.at(links, v, count[u])
+                trees.link(u, v)
+    some = np.flatnonzero(links)
+    child, root = trees.edges()
+    return node[some], links[some], node[child], node[root]
 
 
 def compare(group: pa.Table, table: int, same: bool, cosine: float, kind: type) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -80,8 +125,8 @@ def compare(group: pa.Table, table: int, same: bool, cosine: float, kind: type)
     cut = int((side == 0).sum())
     node = group["node"].to_numpy()[order]
     count = group["n"].to_numpy()[order]
-    vec = unit(np.array([np.frombuffer(x, kind) for x in group["vec"].to_pylist()])[order].astype(np.float64))
-    sig = np.array([np.frombuffer(x, np.uint32) for x in group["sig"].to_pylist()])[order]
+    vec = unit(rows_of(group["vec"].to_pylist(), kind)[order].astype(np.float64))
+    sig = rows_of(group["sig"].to_pylist(), np.uint32)[order]
     shift = 0 if same else cut
     links = np.zeros(len(node), np.int64)
     trees = Forest(len(node))
@@ -106,7 +151,7 @@ def compare(group: pa.Table, table: int, same: bool, cosine: float, kind: type)
 
 
 def near_duplicates(vectors: DataFrame, key: str = "vec_id", vec: str = "embedding", cosine: float = COSINE,
-                    bits: int = BITS, tables: int = TABLES, tile_rows: int = TILE_ROWS) -> DataFrame:
+                    tile_rows: int = TILE_ROWS) -> DataFrame:
     """(key, n_links, component_id, kept) of every row; the key is an integer column.
 
     n_links counts the other rows linked directly, equal vectors included; component_id is the smallest key
@@ -125,6 +170,7 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vec: str = "embeddi
     nodes = store(
         rows.where("sound").groupBy("c1", "c2").agg(F.min("key").alias("least"), F.count("*").alias("n"), F.first("vec").alias("vec")).withColumn("node", F.monotonically_increasing_id())
     )
+    bits, tables = shape_of(nodes.count(), cosine)
 
     def hashed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -141,13 +187,14 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vec: str = "embeddi
                 )
 
     signed = store(nodes.select("node", "n", "vec").mapInArrow(hashed, "node bigint, n bigint, length int, vec binary, sig binary, buckets array<int>"))
-    # tables * 2 ** bits rows at most for each length of vectors
+    # only buckets of more than one tile; stored, so that Spark knows the size and broadcasts it or not
     sizes = signed.select("length", F.posexplode("buckets").alias("table", "bucket")).groupBy("length", "table", "bucket").agg(F.count("*").alias("size"))
-    tiled = sizes.where("size > 1").select("length", "table", "bucket", F.ceil(F.col("size") / tile_rows).cast("int").alias("tiles"))
+    tiled = store(sizes.where(F.col("size") > tile_rows).select("length", "table", "bucket", F.ceil(F.col("size") / tile_rows).cast("int").alias("tiles")))
     tile = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
     placed = (
         signed.select("node", "n", "length", "vec", "sig", F.posexplode("buckets").alias("table", "bucket"))
-        .join(F.broadcast(tiled), ["length", "table", "bucket"])
+        .join(tiled, ["length", "table", "bucket"], "left")
+        .withColumn("tiles", F.coalesce("tiles", F.lit(1)))
         .withColumn("tile", tile)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
         .select(
@@ -158,15 +205,21 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vec: str = "embeddi
     work = ["table", "bucket", "length", "a", "b"]
 
     def verified(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in groups(batches, work):
-            at = group.slice(0, 1).to_pylist()[0]
-            nodes_, links, child, root = compare(group, at["table"], at["a"] == at["b"], cosine, kind)
-            if len(nodes_):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate((nodes_, child))), pa.array(np.concatenate((links, np.zeros(len(child), np.int64)))),
-                     pa.array(np.concatenate((np.full(len(nodes_), -1), root)))],
-                    ["node", "links", "root"],
-                )
+        for held, edges in groups(batches, work):
+            starts, sizes = edges[:-1], np.diff(edges)
+            a, b, table = (held[c].to_numpy() for c in ("a", "b", "table"))
+            small = (a[starts] == b[starts]) & (sizes <= SMALL_ROWS)
+            some = small & (sizes > 1)
+            found = [compare_small(held, starts[some], sizes[some], cosine, kind)] if some.any() else []
+            for at, size in zip(starts[~small].tolist(), sizes[~small].tolist(), strict=True):
+                found.append(compare(held.slice(at, size), int(table[at]), a[at] == b[at], cosine, kind))
+            for node, links, child, root in found:
+                if len(node):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.concatenate((node, child))), pa.array(np.concatenate((links, np.zeros(len(child), np.int64)))),
+                         pa.array(np.concatenate((np.full(len(node), -1), root)))],
+                        ["node", "links", "root"],
+                    )
 
     tasks = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     found = store(placed.repartition(tasks, *work).sortWithinPartitions(*work).mapInArrow(verified, "node bigint, links bigint, root bigint"))

@@ -247,6 +247,34 @@ def test_every_link_of_a_large_group_near_the_edge_is_found(spark):
     assert {r["vec_id"]: r["n_links"] for r in got.collect()} == dict(enumerate(want.tolist()))
 
 
+def test_tables_grow_with_the_nodes():
+    """Buckets of unrelated vectors stay small and the miss rate of a pair at the threshold stays below its bound."""
+    for nodes in (0, 1, 4_096, 65_536, 1 << 24, 1 << 34):
+        bits, tables = vectors.shape_of(nodes, 0.95)
+        met = (1 - np.arccos(0.95) / np.pi) ** bits
+        assert nodes / 2**bits <= 16 and (1 - met) ** tables <= vectors.MISS < (1 - met) ** (tables - 1)
+    assert vectors.shape_of(10, 1.0)[1] == 1
+
+
+@pytest.mark.parametrize("small_rows", [0, 128])
+def test_buckets_compared_together_match_brute_force(spark, monkeypatch, small_rows):
+    """Vectors of two lengths in many small groups, with small buckets compared together and one by one."""
+    monkeypatch.setattr(vectors, "SMALL_ROWS", small_rows)
+    rng = np.random.default_rng(8)
+    rows, want = [], {}
+    for group in range(300):
+        dimension, size = (8, 32)[group % 2], group % 7 + 1
+        near = vectors.unit(rng.standard_normal(dimension) + 0.25 * rng.standard_normal((size, dimension)) / np.sqrt(dimension))
+        rows += [(len(rows) + i, v.tolist()) for i, v in enumerate(near)]
+    vecs = {d: [(i, v) for i, v in rows if len(v) == d] for d in (8, 32)}
+    for held in vecs.values():  # vectors of different groups may be close too
+        every = vectors.unit(np.array([v for _, v in held]))
+        for (i, _), n in zip(held, (every @ every.T >= 0.95).sum(axis=1) - 1, strict=True):
+            want[i] = int(n)
+    got = vectors.near_duplicates(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"))
+    assert {r["vec_id"]: r["n_links"] for r in got.collect()} == want and sum(n > 0 for n in want.values()) > 300
+
+
 # --- WARC --------------------------------------------------------------------------------------------------------
 
 
