@@ -154,3 +154,22 @@ def test_charge_tracker_over_long_cells(spark):
     deltas = [random.Random(k).uniform(-0.3, 0.3) for k in range(9000)]
     assert _soc(spark, deltas) == pytest.approx(_fold(deltas), abs=1e-9)
     assert _soc(spark, []) == [] and _soc(spark, [-0.25]) == [1.0]
+
+
+def test_order_values_are_the_doubles_again(spark):
+    rng = random.Random(6)
+    values = [rng.choice([-1, 1]) * rng.random() * 10.0 ** rng.randint(-320, 308) for _ in range(2000)]
+    values += [0.0, math.inf, -math.inf, 5e-324, -5e-324, 1.7976931348623157e308, 2.2250738585072014e-308, 2.225073858507201e-308, 1.0, -2.0]
+    rows = spark.createDataFrame([(v,) for v in values], "v double")
+    assert all(r["v"] == r["w"] for r in rows.withColumn("w", chunked.order_value(chunked.order_key(F.col("v")))).collect())
+    assert spark.sql("select double('NaN') as v").select(F.isnan(chunked.order_value(chunked.order_key(F.col("v"))))).first()[0]
+
+
+def test_steps_are_spread_by_samples_and_not_by_time(spark, small_buckets):
+    """Samples of a step that lie ten years apart give it no more parts than they fill."""
+    c = Cell("T").step("A", 60, 3).step("B", 10 * 365 * 86400, 9).step("A", 60, 2)
+    rows = segment.with_part(segment.label_islands(segment.with_keys(raw(spark, c))))
+    steps = segment.island_steps(rows, first_idx=F.min("_idx"))
+    key = [*segment.KEYS, "_block", "_part"]
+    spread = [tuple(r) for r in segment.over_parts(steps).select(*key).collect()]
+    assert sorted(spread) == sorted(tuple(r) for r in rows.select(*key).distinct().collect()) and len(spread) == 5
