@@ -173,3 +173,29 @@ def test_steps_are_spread_by_samples_and_not_by_time(spark, small_buckets):
     key = [*segment.KEYS, "_block", "_part"]
     spread = [tuple(r) for r in segment.over_parts(steps).select(*key).collect()]
     assert sorted(spread) == sorted(tuple(r) for r in rows.select(*key).distinct().collect()) and len(spread) == 5
+
+
+def test_a_cell_of_few_samples_is_one_slice(spark, small_buckets):
+    """Three samples years apart are one slice; a cell of more samples than a bucket has them by time."""
+    few = Cell("T", cell="0001").step("A", 10 * 365 * 86400, 3)
+    many = Cell("T", cell="0002").step("A", 9 * 3600, 10)
+    got = segment.label_islands(segment.with_keys(raw(spark, few, many))).groupBy("cell_no").agg(F.count_distinct("_chunk").alias("n"))
+    assert {r["cell_no"]: r["n"] for r in got.collect()} == {"0001": 1, "0002": 10}
+
+
+@pytest.mark.parametrize("bucket", [4, 10**6])
+def test_fallback_numbers_do_not_depend_on_slices(spark, monkeypatch, bucket):
+    """Cells without, with some and with all step numbers, as one slice and as many."""
+    monkeypatch.setattr(chunked, "STEP_BUCKET", bucket)
+    plain = Cell("T", cell="0001", numbered=False)
+    some, full = Cell("T", cell="0002", numbered=False), Cell("T", cell="0003")
+    for c in (plain, some, full):
+        c.step("A", 7200, 5).step("B", 7200, 5).step("B", 60, 2, cycle=2).step("A", 60, 2)
+    some.numbered = True
+    some.step("C", 60, 2)
+    rows = segment.number_rows(segment.with_keys(raw(spark, plain, some, full)))
+    got = [(r["cell_no"], r["_step_no"], r["step_name"], r["n_samples"]) for r in collect(segment.numbered_steps(rows), "cell_no", "_step_no")]
+    assert got == [
+        ("0001", 1, "A", 5), ("0001", 2, "B", 7), ("0001", 3, "A", 2), ("0002", 5, "C", 2),
+        ("0003", 1, "A", 5), ("0003", 2, "B", 5), ("0003", 3, "B", 2), ("0003", 4, "A", 2),
+    ]
